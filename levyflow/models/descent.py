@@ -9,18 +9,23 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from levyflow.models.blocks import Blocks, matrix
 
-SUMS_SCHEMA = "part long, sums array<double>"
+# A built type: a DDL string would be parsed again by every epoch.
+SUMS_SCHEMA = T.StructType(
+    [T.StructField("part", T.LongType()), T.StructField("sums", T.ArrayType(T.DoubleType()))]
+)
 FAN_IN = 256
 
 
@@ -124,8 +129,26 @@ def gradient_sums(
     return [(piece[:-1], float(piece[-1])) for piece in pieces]
 
 
+@contextmanager
+def _fixed_plans(spark: SparkSession) -> Iterator[None]:
+    """Adaptive planning off: a pass over cached blocks has nothing to adapt, and the extra
+    job that looks up the cached table would be paid in every epoch."""
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def descend(blocks: Blocks, tasks: Sequence[Task]) -> list[Fit]:
     """Train all ``tasks``; an epoch of every unfinished one is a single Spark job."""
+    with _fixed_plans(blocks.data.sparkSession):
+        return _descend(blocks, tasks)
+
+
+def _descend(blocks: Blocks, tasks: Sequence[Task]) -> list[Fit]:
     thetas = {
         t.name: np.array(t.loss.start(t.seed) if t.theta is None else t.theta, dtype=np.float64)
         for t in tasks

@@ -1,0 +1,26 @@
+"""Every registered query against its SQL twin, on whole tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+from tests.oracle import compare
+
+ORACLES = contract.oracle_sql()
+# No SQL can train these; their learning is tested in test_models and test_plans.
+TRAINED = {"rf_metrics", "mlpc_metrics", "mlpc_metrics_standardized", "job_regression", "job_classification"}
+
+
+def test_only_trained_models_go_without_sql():
+    assert set(contract.queries()) - set(ORACLES) == TRAINED
+    assert set(ORACLES) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_matches_sql(spark, sf_dir, db, name):
+    outcome = compare(contract.queries()[name](spark, sf_dir).toPandas(), db, ORACLES[name])
+    assert outcome.startswith("ok"), outcome
+
+
+def test_entry_gives_sorted_top_rows(spark):
+    nets = [r["net"] for r in contract.entry(spark).collect()]
+    assert len(nets) == 20 and nets == sorted(nets, reverse=True)

@@ -1,0 +1,63 @@
+"""The plans have the shape that makes them scale."""
+
+import pytest
+
+import __spark_entry__ as contract
+from levyflow.catalog.inputs import levy
+from levyflow.plans.etl import build_tables, fact_schema
+from levyflow.plans.reports import top_properties
+from levyflow.sources import read_table, write_table
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["dim_latest", "fact_dedup"])
+def test_one_row_per_key_and_task_crosses_the_shuffle(spark, sf_dir, name):
+    text = plan(contract.queries()[name](spark, sf_dir))
+    assert "row_number(), 1, Partial" in text and "row_number(), 1, Final" in text
+    assert text.count("Exchange") == 1
+
+
+def test_dimension_reads_only_its_columns(spark, sf_dir):
+    text = plan(contract.queries()["dim_latest"](spark, sf_dir))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz,o_orderpriority:string>" in text
+
+
+def test_top_k_never_sorts_the_table(spark, sf_dir):
+    text = plan(contract.queries()["topk_net"](spark, sf_dir))
+    assert "TakeOrderedAndProject" in text and "Exchange" not in text
+    assert "EqualTo(l_discount,0.0)" in text
+
+
+def test_report_prunes_periods_and_pushes_the_share(spark, sf_dir, tmp_path):
+    _, fact = build_tables(levy(spark, sf_dir))
+    path = str(tmp_path / "fact")
+    write_table(fact, path, "parquet", ["PERIODO"])
+    text = plan(top_properties(spark, read_table(spark, path, fact_schema()), period=2000))
+    assert "PartitionFilters: [isnotnull(PERIODO" in text and "= 2000)]" in text
+    assert "EqualTo(PORCENTAJE_CONDOMINIO,100.0)" in text
+    assert "UBIGEO" not in text
+
+
+def test_summary_aggregates_before_the_shuffle(spark, sf_dir):
+    text = plan(contract.queries()["summary_by_period"](spark, sf_dir))
+    assert "partial_sum" in text and "SortAggregate" not in text
+
+
+MAP_ONLY = ["net_amount", "split_keys", "dropna_features", "features_assembled", "label_scaled",
+            "features_standardized", "svr_predict", "mlp_predict", "csv_scan_clean", "json_roundtrip"]
+
+
+@pytest.mark.parametrize("name", MAP_ONLY)
+def test_row_wise_queries_do_not_shuffle_or_leave_the_jvm(spark, sf_dir, name):
+    text = plan(contract.queries()[name](spark, sf_dir))
+    assert "Exchange" not in text and "Python" not in text and "Arrow" not in text
+
+
+@pytest.mark.parametrize("name", ["topk_orders", "regression_metrics", "confusion_matrix", "classification_metrics",
+                                  "stacked_metrics", "etl_row_counts", "split_counts"])
+def test_no_joins_anywhere(spark, sf_dir, name):
+    text = plan(contract.queries()[name](spark, sf_dir))
+    assert "Join" not in text and "Cartesian" not in text

@@ -1,0 +1,89 @@
+import itertools
+
+from pyspark.sql import functions as F
+
+from levyflow.operators import dedupe_by, latest_by, row_counts, summarize, top_k
+
+HISTORY = [
+    ("a", "old", 2023, 20230131), ("a", "new", 2025, 20250131), ("a", "unknown", None, 20260101),
+    ("b", "first", 2024, 20240131), ("b", "second", 2024, 20240131), ("c", "only", None, None),
+]
+
+
+def history(spark):
+    return spark.createDataFrame(HISTORY, "key string, name string, period int, cut int")
+
+
+def test_latest_puts_null_recency_last_and_breaks_ties_by_value(spark):
+    latest = latest_by(history(spark), ["key"], ["period", "cut"], ["name"])
+    assert sorted(map(tuple, latest.collect())) == [("a", "new"), ("b", "second"), ("c", "only")]
+
+
+def test_latest_does_not_depend_on_partitioning(spark):
+    results = {
+        tuple(sorted(map(tuple, latest_by(history(spark).repartition(n), ["key"], ["period", "cut"],
+                                          ["name"]).collect())))
+        for n in (1, 3, 7)
+    }
+    assert len(results) == 1
+
+
+def test_dedupe_keeps_one_row_per_key_with_null_keys_equal(spark):
+    rows = [("p", "t", 1, 5.0), ("p", "t", 1, 5.0), ("p", "t", 1, 3.0), ("p", None, 1, 2.0), ("p", None, 1, 1.0)]
+    df = spark.createDataFrame(rows, "a string, b string, period int, v double")
+    got = sorted(map(tuple, dedupe_by(df, ["a", "b", "period"]).collect()), key=str)
+    assert got == [("p", "t", 1, 3.0), ("p", None, 1, 1.0)] or got == [("p", None, 1, 1.0), ("p", "t", 1, 3.0)]
+    newest = dedupe_by(df, ["a", "b", "period"], [F.desc("v")])
+    assert {r["v"] for r in newest.collect()} == {5.0, 2.0}
+
+
+def test_dedupe_on_all_columns(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (1, 3)], "a int, b int")
+    assert sorted(map(tuple, dedupe_by(df, ["a", "b"]).collect())) == [(1, 2), (1, 3)]
+
+
+def test_dedupe_on_a_hot_key_is_the_same_for_every_partitioning(spark):
+    # One key holds every third row.
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"),
+        F.xxhash64("id").alias("v"),
+    )
+    expected = {}
+    for k, v in map(tuple, df.collect()):
+        expected[k] = min(v, expected.get(k, v))
+    for n in (1, 3, 7):
+        assert dict(map(tuple, dedupe_by(df.repartition(n), ["k"]).collect())) == expected
+
+
+def test_top_k_orders_nulls_last_and_ties_by_key(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 7.0), (4, 5.0)], "id int, v double")
+    assert [r["id"] for r in top_k(df, 3, "v", ["id"]).collect()] == [3, 1, 4]
+    assert [r["id"] for r in top_k(df, 9, "v", ["id"]).collect()] == [3, 1, 4, 2]
+
+
+def test_summary_counts_null_amounts_and_puts_null_group_first(spark):
+    df = spark.createDataFrame(
+        [(2024, 10.0), (2024, None), (2025, 1.25), (2025, 2.5), (None, 4.0)], "period int, v double"
+    )
+    got = [tuple(r) for r in summarize(df, ["period"], {"v": "v"}).collect()]
+    assert got == [(None, 4.0, 4.0, 1), (2024, 10.0, 10.0, 2), (2025, 3.75, 1.88, 2)]
+    doubles = [tuple(r) for r in summarize(df, ["period"], {"v": "v"}, exact=False).collect()]
+    assert doubles == got
+
+
+def test_summary_of_only_nulls_is_null(spark):
+    df = spark.createDataFrame([(1, None)], "period int, v double")
+    assert tuple(summarize(df, ["period"], {"v": "v"}).first()) == (1, None, None, 1)
+
+
+def test_row_counts(spark):
+    counted = row_counts({"x": spark.range(3), "y": spark.range(0)})
+    assert sorted(map(tuple, counted.collect())) == [("x", 3), ("y", 0)]
+
+
+def test_groups_sum_up_to_the_table(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("period", F.year("l_shipdate"))
+    rows = summarize(lines, ["period"], {"l_tax": "tax"}).collect()
+    assert sum(r["num_rows"] for r in rows) == lines.count()
+    assert all(abs(r["avg_tax"] - r["total_tax"] / r["num_rows"]) < 0.01 for r in rows)
+    assert all(a["period"] < b["period"] for a, b in itertools.pairwise(rows))
