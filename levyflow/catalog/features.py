@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,7 +138,6 @@ QUERIES = {
 
 _KEYS_SQL = ", ".join(KEYS)
 _OWNERSHIP = "CASE WHEN l_discount = 0.0 THEN 'Exclusive' ELSE 'Shared' END"
-_BUCKET = "CAST('0x' || substr(md5(concat_ws('|', 42, {keys})), 1, 8) AS BIGINT) % 100"
 _GAPS = f"""
     SELECT {_KEYS_SQL}, CASE WHEN l_linenumber <> 1 THEN l_quantity END AS l_quantity,
            CASE WHEN l_linenumber = 2 THEN 'nan'::DOUBLE ELSE l_tax END AS l_tax, l_extendedprice
@@ -145,6 +146,10 @@ _GAPS = f"""
 _VALID = "l_quantity IS NOT NULL AND NOT isnan(l_quantity) AND l_tax IS NOT NULL AND NOT isnan(l_tax)"
 
 
+def bucket_sql(keys: Sequence[str]) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', 42, {', '.join(keys)})), 1, 8) AS BIGINT) % 100"
+
+
 def _frequencies(label: str, source: str) -> str:
     return f"""
         SELECT label, num AS "rows",
@@ -196,11 +201,11 @@ ORACLES = {
     """,
     "split_counts": f"""
         SELECT CAST(year(l_shipdate) AS INT) AS period,
-               CASE WHEN {_BUCKET.format(keys=_KEYS_SQL)} < 80 THEN 'train' ELSE 'test' END AS side,
+               CASE WHEN {bucket_sql(KEYS)} < 80 THEN 'train' ELSE 'test' END AS side,
                count(*) AS num_rows
         FROM lineitem GROUP BY 1, 2
     """,
     "split_keys": f"""
-        SELECT o_orderkey, o_custkey FROM orders WHERE {_BUCKET.format(keys="o_orderkey")} >= 80
+        SELECT o_orderkey, o_custkey FROM orders WHERE {bucket_sql(["o_orderkey"])} >= 80
     """,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levyflow.catalog.inputs import table
+from levyflow.catalog.training_sql import TrainingSql
 from levyflow.models.blocks import pack_blocks
 from levyflow.models.descent import Fit, Task, descend, gradient_sums
 from levyflow.models.mlp import MlpLoss, mlp_predict
@@ -164,108 +165,42 @@ _D = f"""
            l_extendedprice * (1 - l_discount) * (1 + l_tax) / 50000 - 1 AS y
     FROM lineitem
 """
-_SVR_SLOTS = ("w1", "w2", "b")
-_MLP_SLOTS = ("w11", "w12", "w21", "w22", "b1", "b2", "v1", "v2", "c")
-# Mean gradient per slot, over rows with residual r or with activations h1, h2 and error e.
-_SVR_DIRECTION = f"CASE WHEN abs(r) > {SVR.epsilon} THEN -sign(r) ELSE 0 END"
-_SVR_GRADIENT = {
-    "w1": f"avg(({_SVR_DIRECTION}) * x1)",
-    "w2": f"avg(({_SVR_DIRECTION}) * x2)",
-    "b": f"avg(CAST({_SVR_DIRECTION} AS DOUBLE))",
-}
-_SVR_LOSS = f"avg(greatest(abs(r) - {SVR.epsilon}, 0))"
-_MLP_GRADIENT = {
-    "w11": "avg(2 * e * v1 * (1 - h1 * h1) * x1)",
-    "w12": "avg(2 * e * v1 * (1 - h1 * h1) * x2)",
-    "w21": "avg(2 * e * v2 * (1 - h2 * h2) * x1)",
-    "w22": "avg(2 * e * v2 * (1 - h2 * h2) * x2)",
-    "b1": "avg(2 * e * v1 * (1 - h1 * h1))",
-    "b2": "avg(2 * e * v2 * (1 - h2 * h2))",
-    "v1": "avg(2 * e * h1)",
-    "v2": "avg(2 * e * h2)",
-    "c": "avg(2 * e)",
-}
-
-
-def _start(slots: Sequence[str], values: Sequence[float]) -> str:
-    return "SELECT " + ", ".join(f"{v}::DOUBLE AS {s}" for s, v in zip(slots, values))
-
+_SVR_SQL = TrainingSql("s", _SVR_TASK, tuple(FEATURES))
+_MLP_SQL = TrainingSql("m", _MLP_TASK, tuple(FEATURES))
 
-def _svr_rows(weights: str) -> str:
-    return f"SELECT d.*, w1, w2, b, y - (w1 * x1 + w2 * x2 + b) AS r FROM d CROSS JOIN {weights}"
 
-
-def _mlp_rows(weights: str) -> str:
+def _scores(model: TrainingSql, places: int) -> str:
     return f"""
-        SELECT *, v1 * h1 + v2 * h2 + c - y AS e FROM (
-            SELECT *, tanh(w11 * x1 + w12 * x2 + b1) AS h1, tanh(w21 * x1 + w22 * x2 + b2) AS h2
-            FROM d CROSS JOIN {weights}
-        ) AS active
+        WITH d AS ({_D}), w AS ({model.start()})
+        SELECT {_KEYS_SQL}, round(prediction, {places}) AS prediction FROM ({model.scored("d", "w")}) AS scored
     """
 
 
-def _svr_chain() -> str:
-    parts = [f"sw0 AS ({_start(_SVR_SLOTS, SVR_START)})"]
-    for i in range(EPOCHS):
-        sums = ", ".join(f"{g} AS g_{s}" for s, g in _SVR_GRADIENT.items())
-        parts.append(f"sg{i} AS (SELECT {sums}, {_SVR_LOSS} AS loss FROM ({_svr_rows(f'sw{i}')}) AS r)")
-        moved = ", ".join(
-            f"{s} - {SVR_RATE} * (g_{s}{f' + {SVR.l2} * {s}' if s != 'b' else ''}) AS {s}" for s in _SVR_SLOTS
-        )
-        parts.append(f"sw{i + 1} AS (SELECT {moved} FROM sw{i} CROSS JOIN sg{i})")
-    return ", ".join(parts)
-
-
-def _mlp_chain() -> str:
-    parts = [f"mw0 AS ({_start(_MLP_SLOTS, MLP_START)})"]
-    for i in range(EPOCHS):
-        sums = ", ".join(f"{g} AS g_{s}" for s, g in _MLP_GRADIENT.items())
-        parts.append(f"mg{i} AS (SELECT {sums}, avg(e * e) AS loss FROM ({_mlp_rows(f'mw{i}')}) AS r)")
-        moved = ", ".join(f"{s} - {MLP_RATE} * g_{s} AS {s}" for s in _MLP_SLOTS)
-        parts.append(f"mw{i + 1} AS (SELECT {moved} FROM mw{i} CROSS JOIN mg{i})")
-    return ", ".join(parts)
-
-
-def _curve(prefix: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT CAST({i + 1} AS INT) AS epoch, round(loss, 6) AS loss FROM {prefix}g{i}" for i in range(EPOCHS)
-    )
-
-
-_SVR_CURVE = " UNION ALL ".join(
-    f"""SELECT 'svr' AS model, CAST({i + 1} AS INT) AS epoch, round(loss, 6) AS loss,
-        round(loss + {SVR.l2 / 2} * (w1 * w1 + w2 * w2), 6) AS objective FROM sg{i} CROSS JOIN sw{i}"""
-    for i in range(EPOCHS)
-)
-_MLP_CURVE = " UNION ALL ".join(
-    f"SELECT 'mlp', CAST({i + 1} AS INT), round(loss, 6), round(loss, 6) FROM mg{i}" for i in range(EPOCHS)
-)
-
 ORACLES = {
-    "svr_predict": f"""
-        WITH d AS ({_D}), w AS ({_start(_SVR_SLOTS, SVR_START)})
-        SELECT {_KEYS_SQL}, round(w1 * x1 + w2 * x2 + b, 9) AS prediction FROM d CROSS JOIN w
-    """,
-    "mlp_predict": f"""
-        WITH d AS ({_D}), w AS ({_start(_MLP_SLOTS, MLP_START)})
-        SELECT {_KEYS_SQL}, round(e + y, 6) AS prediction FROM ({_mlp_rows("w")}) AS scored
-    """,
+    "svr_predict": _scores(_SVR_SQL, 9),
+    "mlp_predict": _scores(_MLP_SQL, 6),
     "svr_gradient": f"""
-        WITH d AS ({_D}), w AS ({_start(_SVR_SLOTS, SVR_START)})
-        SELECT round({_SVR_GRADIENT["w1"]}, 6) AS g_x1, round({_SVR_GRADIENT["w2"]}, 6) AS g_x2,
-               round({_SVR_GRADIENT["b"]}, 6) AS g_bias, round({_SVR_LOSS}, 6) AS loss
-        FROM ({_svr_rows("w")}) AS r
+        WITH d AS ({_D}), w AS ({_SVR_SQL.start()})
+        SELECT {", ".join(
+            f"round({g}, 6) AS g_{s}" for s, g in zip(["x1", "x2", "bias"], _SVR_SQL.gradients())
+        )}, round({_SVR_SQL.loss()}, 6) AS loss
+        FROM ({_SVR_SQL.scored("d", "w")}) AS scored
     """,
     "mlp_gradient": f"""
-        WITH d AS ({_D}), w AS ({_start(_MLP_SLOTS, MLP_START)}), scored AS ({_mlp_rows("w")})
+        WITH d AS ({_D}), w AS ({_MLP_SQL.start()}), scored AS ({_MLP_SQL.scored("d", "w")})
     """
     + " UNION ALL ".join(
         f"SELECT CAST({i} AS INT) AS slot, round({g}, 6) AS gradient FROM scored"
-        for i, g in enumerate([*_MLP_GRADIENT.values(), "avg(e * e)"])
+        for i, g in enumerate([*_MLP_SQL.gradients(), _MLP_SQL.loss()])
     ),
-    "loss_curve_svr": f"WITH d AS ({_D}), {_svr_chain()} {_curve('s')}",
-    "loss_curve_mlp": f"WITH d AS ({_D}), {_mlp_chain()} {_curve('m')}",
+    "loss_curve_svr": f"""
+        WITH d AS ({_D}), {_SVR_SQL.chain()} SELECT epoch, loss FROM ({_SVR_SQL.curve()}) AS curve
+    """,
+    "loss_curve_mlp": f"""
+        WITH d AS ({_D}), {_MLP_SQL.chain()} SELECT epoch, loss FROM ({_MLP_SQL.curve()}) AS curve
+    """,
     "loss_curves_shared_pass": f"""
-        WITH d AS ({_D}), {_svr_chain()}, {_mlp_chain()} {_SVR_CURVE} UNION ALL {_MLP_CURVE}
+        WITH d AS ({_D}), {_SVR_SQL.chain()}, {_MLP_SQL.chain()}
+        {_SVR_SQL.curve()} UNION ALL {_MLP_SQL.curve()}
     """,
 }
