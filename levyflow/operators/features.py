@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from levyflow.functions.scaling import scale
@@ -104,13 +105,22 @@ def label_stats(df: DataFrame, label: str) -> DataFrame:
 
 
 def label_frequencies(df: DataFrame, label: str) -> DataFrame:
-    """``(label, rows, index)``: most frequent class first, ties in alphabetical order.
+    """``(label, rows, index)``: most frequent label first, ties in alphabetical order.
 
-    The window runs over the grouped table, which has one row per class of a
-    classifier, not over the data.
+    Numbered in two steps, position in the sorted partition plus rows of the partitions
+    before it, so any number of labels can be ranked without one task seeing them all.
     """
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    order = Window.orderBy(F.desc("rows"), F.asc("label"))
-    return counts.withColumn("index", F.row_number().over(order) - 1)
+    # The id holds the partition number in its upper bits and the position below. Cached:
+    # both steps must see the same sort.
+    ordered = counts.orderBy(F.desc("rows"), F.asc("label")).select(
+        "label", "rows", F.monotonically_increasing_id().alias("id")
+    ).persist()
+    part, position = F.shiftright("id", 33), F.col("id").bitwiseAND((1 << 33) - 1)
+    sizes = sorted(map(tuple, ordered.groupBy(part.alias("part")).count().collect()))
+    before = accumulate((size for _, size in sizes), initial=0)
+    offsets = F.create_map(*[F.lit(v) for (number, _), n in zip(sizes, before) for v in (number, n)])
+    index = (position + offsets[part]) if sizes else position
+    return ordered.select("label", "rows", index.cast("int").alias("index"))

@@ -78,6 +78,24 @@ def test_label_index_agrees_with_spark_ml(spark):
     assert [k for k, _ in sorted(ours.items(), key=lambda kv: kv[1])] == list(theirs)
 
 
+def test_label_index_runs_through_all_partitions(spark):
+    df = spark.range(5000).select(F.concat(F.lit("k"), F.col("id") % 700).alias("label"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # or the sort would be merged into one partition
+    try:
+        got = label_frequencies(df, "label")
+        assert got.rdd.getNumPartitions() > 1
+        rows = sorted(got.collect(), key=lambda r: r["index"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert [r["index"] for r in rows] == list(range(700))
+    assert rows == sorted(rows, key=lambda r: (-r["rows"], r["label"]))
+
+
+def test_label_index_of_nothing_is_empty(spark):
+    assert label_frequencies(spark.createDataFrame([], "label string"), "label").collect() == []
+
+
 def test_without_keeps_order():
     assert without(["a", "b", "c"], ["b"]) == ["a", "c"]
 

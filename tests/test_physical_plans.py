@@ -6,6 +6,7 @@ import __spark_entry__ as contract
 from levyflow.catalog.inputs import levy
 from levyflow.plans.etl import build_tables, fact_schema
 from levyflow.plans.reports import top_properties
+from levyflow.sizing import shuffle_width, sized_shuffles, stored_bytes
 from levyflow.sources import read_table, write_table
 
 
@@ -46,6 +47,23 @@ def test_summary_aggregates_before_the_shuffle(spark, sf_dir):
     assert "partial_sum" in text and "SortAggregate" not in text
 
 
+def test_no_query_ranks_all_rows_in_one_task(spark, sf_dir):
+    for name in ("dim_latest", "fact_dedup", "label_index", "label_index_priority"):
+        assert "SinglePartition" not in plan(contract.queries()[name](spark, sf_dir))
+
+
+def test_shuffles_widen_with_the_input(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    assert 0 < stored_bytes(lines.select("l_tax")) < stored_bytes(lines)
+    assert shuffle_width(stored_bytes(lines), 8) == 8
+    assert shuffle_width(10 * 1024**4, 200) > 10_000
+    assert shuffle_width(100 * 1024**4, 200) == 50_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_shuffles(lines):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 MAP_ONLY = ["net_amount", "split_keys", "dropna_features", "features_assembled", "label_scaled",
             "features_standardized", "svr_predict", "mlp_predict", "csv_scan_clean", "json_roundtrip"]
 
