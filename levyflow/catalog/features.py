@@ -146,6 +146,9 @@ _GAPS = f"""
 _VALID = "l_quantity IS NOT NULL AND NOT isnan(l_quantity) AND l_tax IS NOT NULL AND NOT isnan(l_tax)"
 
 
+# Adding 0.0 turns the negative zero that DuckDB's rounding can leave into zero, as Spark's does.
+
+
 def bucket_sql(keys: Sequence[str]) -> str:
     return f"CAST('0x' || substr(md5(concat_ws('|', 42, {', '.join(keys)})), 1, 8) AS BIGINT) % 100"
 
@@ -178,7 +181,7 @@ ORACLES = {
         for c in FEATURES
     ),
     "features_standardized": f"""
-        SELECT {_KEYS_SQL}, {", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in FEATURES)},
+        SELECT {_KEYS_SQL}, {", ".join(f"round(({c} - m_{c}) / s_{c}, 6) + 0.0 AS {c}" for c in FEATURES)},
                0.0::DOUBLE AS flat
         FROM lineitem CROSS JOIN (
             SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURES)} FROM lineitem
@@ -189,7 +192,7 @@ ORACLES = {
                round(greatest(stddev_pop(l_extendedprice), 1e-6), 6) AS std FROM lineitem
     """,
     "label_scaled": f"""
-        SELECT {_KEYS_SQL}, round((l_extendedprice - m) / s, 6) AS scaled
+        SELECT {_KEYS_SQL}, round((l_extendedprice - m) / s, 6) + 0.0 AS scaled
         FROM lineitem CROSS JOIN (
             SELECT avg(l_extendedprice) AS m, greatest(stddev_pop(l_extendedprice), 1e-6) AS s FROM lineitem
         ) AS stats

@@ -31,7 +31,7 @@ SELECT CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)
        CAST(round(price * tax * discount, 2) AS DOUBLE) AS DESCUENTO_TOPE_SERENAZGO,
        CAST(round(price * discount, 2) AS DOUBLE) AS MONTO_TOPE_RESIDUO_SOLIDO,
        CAST(l_linenumber AS DOUBLE) AS DESCUENTO_TOPE_BARRIO_CALLE,
-       'LIMA' AS DEPARTAMENTO, 'LIMA' AS PROVINCIA, 'CENTRO' AS DISTRITO,
+       'D1' AS DEPARTAMENTO, 'P1' AS PROVINCIA, 'X1' AS DISTRITO,
        lpad(CAST(l_linenumber AS STRING), 6, '0') AS UBIGEO
 FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(12, 2)) AS price,
              CAST(l_discount AS DECIMAL(4, 2)) AS discount,

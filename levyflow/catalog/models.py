@@ -172,7 +172,7 @@ _MLP_SQL = TrainingSql("m", _MLP_TASK, tuple(FEATURES))
 def _scores(model: TrainingSql, places: int) -> str:
     return f"""
         WITH d AS ({_D}), w AS ({model.start()})
-        SELECT {_KEYS_SQL}, round(prediction, {places}) AS prediction FROM ({model.scored("d", "w")}) AS scored
+        SELECT {_KEYS_SQL}, round(prediction, {places}) + 0.0 AS prediction FROM ({model.scored("d", "w")}) AS scored
     """
 
 

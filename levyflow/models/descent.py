@@ -38,7 +38,7 @@ class Loss(Protocol):
     def start(self, seed: int) -> np.ndarray: ...
 
     def sums(self, theta: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-        """Gradient and loss, each summed over the rows."""
+        """Gradient and loss, each summed over the rows; ``x`` has one line per feature."""
 
     def penalty(self, theta: np.ndarray) -> tuple[np.ndarray, float]:
         """Gradient and value of the regularisation term."""
@@ -75,8 +75,8 @@ def _partial(
         total = None
         for batch in batches:
             for block in batch.column(0):
-                rows = matrix(block.as_buffer(), width)
-                x, y = rows[:, :-1], rows[:, -1]
+                lines = matrix(block.as_buffer(), width)
+                x, y = lines[:-1], lines[-1]
                 parts = []
                 for loss, theta in zip(losses, thetas):
                     gradient, value = loss.sums(theta, x, y)

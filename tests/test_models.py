@@ -23,7 +23,7 @@ def numeric_gradient(loss, theta, x, y, step=1e-6):
 @pytest.mark.parametrize("loss", LOSSES, ids=["svr", "mlp"])
 def test_gradient_agrees_with_finite_differences(loss):
     rng = np.random.default_rng(1)
-    x, y = rng.normal(size=(200, 3)), rng.normal(size=200)
+    x, y = rng.normal(size=(3, 200)), rng.normal(size=200)
     theta = loss.start(3)
     gradient, _ = loss.sums(theta, x, y)
     assert theta.shape == (loss.size,)
@@ -32,10 +32,17 @@ def test_gradient_agrees_with_finite_differences(loss):
 
 def test_svr_is_flat_on_the_edge_of_the_tube():
     loss = SvrLoss(1, epsilon=0.5, l2=0.0)
-    gradient, value = loss.sums(np.array([0.0, 0.0]), np.array([[1.0], [1.0]]), np.array([0.5, -0.5]))
+    gradient, value = loss.sums(np.array([0.0, 0.0]), np.array([[1.0, 1.0]]), np.array([0.5, -0.5]))
     assert gradient.tolist() == [0.0, 0.0] and value == 0.0
 
 
+def test_network_saturates_quietly():
+    loss = MlpLoss(1, hidden=1)
+    with np.errstate(over="raise", invalid="raise", divide="raise"):
+        active, _ = loss.forward([1.0, 0.0, 1.0, 0.0], np.array([[-1e6, -1.0, 0.0, 1e-9, 1.0, 1e6]]))
+    assert np.allclose(active[0], np.tanh([-1e6, -1.0, 0.0, 1e-9, 1.0, 1e6]), atol=1e-15)
+
+
 def test_svr_penalty_leaves_the_bias_alone():
     pull, penalty = SvrLoss(2, l2=0.5).penalty(np.array([1.0, 2.0, 9.0]))
     assert pull.tolist() == [0.5, 1.0, 0.0] and penalty == 1.25
@@ -57,7 +64,7 @@ def test_packed_gradient_agrees_with_numpy_and_with_the_aggregate(spark):
         [(gradient, value)] = gradient_sums(blocks, [loss], [theta])
     finally:
         blocks.release()
-    expected, expected_value = loss.sums(theta, data[:, :2], data[:, 2])
+    expected, expected_value = loss.sums(theta, data[:, :2].T, data[:, 2])
     assert np.allclose(gradient, expected) and value == pytest.approx(expected_value)
     one_pass = svr_gradient(df, ["x1", "x2"], "y", theta, loss.epsilon).first()
     assert np.allclose(list(one_pass), np.append(expected, expected_value) / len(data))
@@ -141,7 +148,7 @@ def test_both_forms_of_the_network_agree(spark):
     got = df.select("x1", "x2", mlp_expression(loss, ["x1", "x2"], theta), mlp_vectorized(loss, ["x1", "x2"], theta))
     rows = np.array(got.collect())
     assert np.allclose(rows[:, 2], rows[:, 3])
-    assert np.allclose(rows[:, 2], loss.forward(theta, rows[:, :2])[1])
+    assert np.allclose(rows[:, 2], loss.forward(theta, rows[:, :2].T)[1])
 
 
 def test_both_regressors_learn_a_line(spark):
