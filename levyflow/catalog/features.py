@@ -146,9 +146,6 @@ _GAPS = f"""
 _VALID = "l_quantity IS NOT NULL AND NOT isnan(l_quantity) AND l_tax IS NOT NULL AND NOT isnan(l_tax)"
 
 
-# Adding 0.0 turns the negative zero that DuckDB's rounding can leave into zero, as Spark's does.
-
-
 def bucket_sql(keys: Sequence[str]) -> str:
     return f"CAST('0x' || substr(md5(concat_ws('|', 42, {', '.join(keys)})), 1, 8) AS BIGINT) % 100"
 
@@ -161,6 +158,7 @@ def _frequencies(label: str, source: str) -> str:
     """
 
 
+# Adding 0.0 makes a plain zero of the negative zero that rounding leaves in DuckDB but not in Spark.
 ORACLES = {
     "label_binary": f"""
         SELECT {_OWNERSHIP} AS ownership, count(*) AS num_rows,
