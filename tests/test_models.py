@@ -4,11 +4,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from levyflow.models import MlpLoss, SvrLoss, Task, descend, pack_blocks
+from levyflow.models.blocks import task_count
 from levyflow.models.descent import FAN_IN, gradient_sums, ordered_sum, tree_sum
 from levyflow.models.mlp import mlp_expression, mlp_vectorized
 from levyflow.models.svr import svr_gradient, svr_predict
 from levyflow.operators import regression_metrics
 
+MIB = 1024**2
 LOSSES = [SvrLoss(3, epsilon=0.1, l2=1e-2), MlpLoss(3, hidden=4)]
 
 
@@ -70,6 +72,22 @@ def test_packed_gradient_agrees_with_numpy_and_with_the_aggregate(spark):
     assert np.allclose(list(one_pass), np.append(expected, expected_value) / len(data))
 
 
+@pytest.mark.parametrize(
+    "size, blocks, partitions, cores, expected",
+    [
+        (300_000, 7, 7, 8, 1),  # tiny: one task
+        (34 * MIB, 48, 8, 8, 5),  # less than the cores could take
+        (900 * MIB, 1300, 1, 8, 8),  # one file, all cores
+        (900 * MIB, 1300, 20, 8, 20),  # as scanned
+        (900 * MIB, 1300, 1000, 8, 113),  # many small files
+        (40 * 1024**2 * MIB, 10**8, 800_000, 4000, 800_000),  # large: as scanned
+        (900 * MIB, 3, 1, 8, 3),  # no more tasks than blocks
+    ],
+)
+def test_task_count_follows_size(size, blocks, partitions, cores, expected):
+    assert task_count(size, blocks, partitions, cores) == expected
+
+
 def test_one_epoch_is_the_same_for_every_partitioning(spark):
     fits = []
     for n in (1, 3, 7):
