@@ -4,7 +4,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from levyflow.models import MlpLoss, SvrLoss, Task, descend, pack_blocks
-from levyflow.models.blocks import task_count
+from levyflow.models.caching import cache_spread, task_count
 from levyflow.models.descent import FAN_IN, gradient_sums, ordered_sum, tree_sum
 from levyflow.models.mlp import mlp_expression, mlp_vectorized
 from levyflow.models.svr import svr_gradient, svr_predict
@@ -88,6 +88,17 @@ def test_task_count_follows_size(size, blocks, partitions, cores, expected):
     assert task_count(size, blocks, partitions, cores) == expected
 
 
+def test_cache_spreads_a_partition_that_holds_most_rows(spark):
+    hot = spark.range(100_000, numPartitions=1).unionAll(spark.range(700, numPartitions=7))
+    cached = cache_spread(hot, F.lit(1), 1024)  # as if a row were a kilobyte: enough for every core
+    try:
+        sizes = [r["count"] for r in cached.data.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        cached.data.unpersist()
+    assert cached.samples == sum(sizes) == 100_700
+    assert len(sizes) == cached.partitions == 8 and max(sizes) < 2 * min(sizes)
+
+
 def test_one_epoch_is_the_same_for_every_partitioning(spark):
     fits = []
     for n in (1, 3, 7):
