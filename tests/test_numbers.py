@@ -1,6 +1,8 @@
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -19,6 +21,12 @@ def test_clean_number_reads_grouped_and_plain_text(spark):
     assert got == expected
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(-(10**13), 10**13), min_size=1, max_size=200))
+def test_grouped_text_comes_back_as_the_same_number(spark, cents):
+    assert evaluate(spark, [f"{c / 100:,.2f}" for c in cents], clean_number) == [c / 100 for c in cents]
+
+
 def test_clean_number_reads_nan_and_infinity(spark):
     nan, inf = evaluate(spark, ["NaN", "Infinity"], clean_number)
     assert math.isnan(nan) and inf == math.inf

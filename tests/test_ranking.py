@@ -1,5 +1,6 @@
 import itertools
 
+import pytest
 from pyspark.sql import functions as F
 
 from levyflow.operators import dedupe_by, latest_by, row_counts, summarize, top_k
@@ -76,6 +77,14 @@ def test_summary_of_only_nulls_is_null(spark):
     assert tuple(summarize(df, ["period"], {"v": "v"}).first()) == (1, None, None, 1)
 
 
+@pytest.mark.parametrize("odd", [float("nan"), float("inf"), 1e20])
+def test_summary_of_values_that_are_no_money_is_that_of_doubles(spark, odd):
+    df = spark.createDataFrame([(1, odd), (1, 2.0), (2, 3.0), (2, None)], "period int, v double")
+    exact = summarize(df, ["period"], {"v": "v"}).collect()
+    assert str(exact) == str(summarize(df, ["period"], {"v": "v"}, exact=False).collect())
+    assert tuple(exact[1]) == (2, 3.0, 3.0, 2)
+
+
 def test_row_counts(spark):
     counted = row_counts({"x": spark.range(3), "y": spark.range(0)})
     assert sorted(map(tuple, counted.collect())) == [("x", 3), ("y", 0)]
