@@ -3,21 +3,24 @@
 import pytest
 
 import __spark_entry__ as contract
+from levyflow import catalog
 from tests.oracle import compare
 
-ORACLES = contract.oracle_sql()
+# The queries of the optional training-data part have their own tests.
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 # No SQL can train these; their learning is tested in test_models and test_plans.
 TRAINED = {"rf_metrics", "mlpc_metrics", "mlpc_metrics_standardized", "job_regression", "job_classification"}
 
 
 def test_only_trained_models_go_without_sql():
-    assert set(contract.queries()) - set(ORACLES) == TRAINED
-    assert set(ORACLES) <= set(contract.queries())
+    assert set(QUERIES) - set(ORACLES) == TRAINED
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", ORACLES)
 def test_matches_sql(spark, sf_dir, db, name):
-    outcome = compare(contract.queries()[name](spark, sf_dir).toPandas(), db, ORACLES[name])
+    outcome = compare(QUERIES[name](spark, sf_dir).toPandas(), db, ORACLES[name])
     assert outcome.startswith("ok"), outcome
 
 
