@@ -9,15 +9,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from levyflow.llm.catalog import train_toxicity
+from levyflow.llm.packing import pack
+from levyflow.llm.secrets import mask_live
 from levyflow.llm.shared import stored
 from levyflow.llm.simhash import first_of_groups
+from levyflow.llm.toxicity import drop_toxic
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    return drop_toxic(docs, train_toxicity(spark, sf_dir))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of near copies."""
     return first_of_groups(docs)
 
 
-STAGES = [("simhash", near_copies)]
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with live-looking secrets masked."""
+    return mask_live(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in the training sequences."""
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", clean_language),
+    ("simhash", one_of_each),
+    ("secrets", without_secrets),
+    ("packing", packed),
+]
 
 # SQL can express neither a trained classifier nor a tokenizer.
 ORACLE_SQL = None

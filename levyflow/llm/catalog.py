@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from levyflow.llm import toxicity
+from levyflow.llm.packing import pack
+from levyflow.llm.secrets import find_secrets, span_report
 from levyflow.llm.simhash import simhash_components
 
 
@@ -15,6 +19,35 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_simhash": op3_simhash}
+def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def _held_out(key: str) -> Column:
+    """A third of the documents by their key; their labels are never learnt from."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
+
+
+def train_toxicity(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
+    """The classifier of a set of tables, from the labels that are not held out."""
+    labels = _table(spark, sf_dir, "labels").where(~_held_out("doc_id"))
+    return toxicity.train(_table(spark, sf_dir, "documents"), labels)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(_table(spark, sf_dir, "documents"), train_toxicity(spark, sf_dir))
+    return scored.select("doc_id", _held_out("doc_id").alias("held_out"), "score", "predicted", "sentences")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_report(find_secrets(_table(spark, sf_dir, "documents")))
+
+
+QUERIES = {
+    "op3_simhash": op3_simhash,
+    "op5_best_fit": op5_best_fit,
+    "op7_toxicity": op7_toxicity,
+    "op10_secrets": op10_secrets,
+}
 
 ORACLES: dict[str, str] = {}
