@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from levyflow.llm.catalog import train_toxicity
 from levyflow.llm.packing import pack
-from levyflow.llm.secrets import mask_live
+from levyflow.llm.secret_scan import mask_live
 from levyflow.llm.shared import stored
 from levyflow.llm.simhash import first_of_groups
 from levyflow.llm.toxicity import drop_toxic

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from levyflow.llm import toxicity
 from levyflow.llm.packing import pack
-from levyflow.llm.secrets import find_secrets, span_report
+from levyflow.llm.secret_scan import find_secrets, span_report
 from levyflow.llm.simhash import simhash_components
 
 
