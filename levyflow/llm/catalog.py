@@ -5,16 +5,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from levyflow.llm import toxicity
+from levyflow.llm import sharding, toxicity
+from levyflow.llm.caps import cap_components
 from levyflow.llm.packing import pack
 from levyflow.llm.secret_scan import find_secrets, span_report
 from levyflow.llm.simhash import simhash_components
 
+# Shards of the registered query. Small ones, so that small tables split too.
+SHARD_BYTES = 1024**2
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
+
+
+OP1_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS h,
+         CAST(coalesce(strlen(text), 0) AS BIGINT) AS bytes
+  FROM documents),
+levels AS (SELECT doc_id, h, bytes, CAST(d AS INT) AS depth, h >> (60 - d) AS prefix
+           FROM sized, range(0, 61) AS t(d)),
+buckets AS (SELECT depth, prefix, CAST(sum(bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_rows,
+                   sum(bytes) <= {SHARD_BYTES} OR min(h) = max(h) AS done
+            FROM levels GROUP BY ALL)
+SELECT doc_id, bytes, 'b' || CASE depth WHEN 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard,
+       depth, shard_bytes, shard_rows, '0' AS page
+FROM levels JOIN buckets USING (depth, prefix)
+WHERE done QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
+
+
+def op2_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_components(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
@@ -25,7 +54,7 @@ def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _held_out(key: str) -> Column:
     """A third of the documents by their key; their labels are never learnt from."""
-    return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def train_toxicity(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
@@ -44,10 +73,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op2_caps": op2_caps,
     "op3_simhash": op3_simhash,
     "op5_best_fit": op5_best_fit,
     "op7_toxicity": op7_toxicity,
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_sharding": OP1_SQL}
