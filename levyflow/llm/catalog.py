@@ -10,6 +10,7 @@ from levyflow.llm.caps import cap_components
 from levyflow.llm.packing import pack
 from levyflow.llm.secret_scan import find_secrets, span_report
 from levyflow.llm.simhash import simhash_components
+from levyflow.llm.warc import archive_round_trip
 
 # Shards of the registered query. Small ones, so that small tables split too.
 SHARD_BYTES = 1024**2
@@ -48,6 +49,22 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = archive_round_trip(spark, _table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH payloads AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+ranked AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes < 100 OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM ranked
+"""
+
+
 def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
@@ -76,9 +93,10 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_caps": op2_caps,
     "op3_simhash": op3_simhash,
+    "op4_warc": op4_warc,
     "op5_best_fit": op5_best_fit,
     "op7_toxicity": op7_toxicity,
     "op10_secrets": op10_secrets,
 }
 
-ORACLES = {"op1_sharding": OP1_SQL}
+ORACLES = {"op1_sharding": OP1_SQL, "op4_warc": OP4_SQL}
