@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from levyflow.llm import sharding, toxicity
 from levyflow.llm.caps import cap_components
+from levyflow.llm.multi_index import nearest
 from levyflow.llm.packing import pack
 from levyflow.llm.secret_scan import find_secrets, span_report
 from levyflow.llm.simhash import simhash_components
@@ -85,6 +86,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out("doc_id").alias("held_out"), "score", "predicted", "sentences")
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_report(find_secrets(_table(spark, sf_dir, "documents")))
 
@@ -96,6 +101,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_best_fit": op5_best_fit,
     "op7_toxicity": op7_toxicity,
+    "op8_multi_index": op8_multi_index,
     "op10_secrets": op10_secrets,
 }
 
