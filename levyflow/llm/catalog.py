@@ -11,10 +11,13 @@ from levyflow.llm.multi_index import nearest
 from levyflow.llm.packing import pack
 from levyflow.llm.secret_scan import find_secrets, span_report
 from levyflow.llm.simhash import simhash_components
+from levyflow.llm.token_counts import edited_counts, spread_edits
 from levyflow.llm.warc import archive_round_trip
 
 # Shards of the registered query. Small ones, so that small tables split too.
 SHARD_BYTES = 1024**2
+# Edits that every document of the registered query goes through.
+EDITS = 4
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +93,11 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edits = spread_edits(F.col("doc_id"), F.col("text"), EDITS)
+    return edited_counts(_table(spark, sf_dir, "documents"), edits)
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_report(find_secrets(_table(spark, sf_dir, "documents")))
 
@@ -102,6 +110,7 @@ QUERIES = {
     "op5_best_fit": op5_best_fit,
     "op7_toxicity": op7_toxicity,
     "op8_multi_index": op8_multi_index,
+    "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,
 }
 
