@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from levyflow.llm.shared import ship_package
+from levyflow.llm.shared import ship_package, stored
 
 # Labelled documents of each class that training reads at most, chosen by the hash of their keys.
 SAMPLE = 4000
@@ -114,9 +114,42 @@ def train(
         chosen = part if chosen is None else chosen.union(part)
     # The sample is bounded: at most two classes of ``sample`` keys.
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "key").mapInArrow(_instances, "key long, y int, feature array<int>, sentence array<int>")
-    table = rows.toArrow().sort_by("key")
-    return _fit(table, sizes)
+    schema = "key long, y int, feature array<int>, sentence array<int>"
+    held = stored(texts.join(F.broadcast(chosen), "key").mapInArrow(_instances, schema), "toxicity_sample")
+    telling = _telling(held)
+    if not len(telling):
+        return ToxicityModel({}, -30.0)
+    return _fit(held.mapInArrow(lambda batches: _only(batches, telling), schema).toArrow().sort_by("key"), telling, sizes)
+
+
+def _telling(held: DataFrame) -> np.ndarray:
+    """The features that are clearly more frequent in toxic documents, at most ``FEATURES``."""
+    share = held.agg(F.avg("y")).first()[0] or 0.0
+    spread = F.sqrt(F.col("n") * F.lit(share * (1 - share)))
+    counts = (
+        held.select("y", F.explode(F.array_distinct("feature")).alias("feature")).where("feature >= 0")
+        .groupBy("feature").agg(F.count("*").alias("n"), F.sum("y").alias("toxic"))
+        .where(F.col("n") >= LEAST_DOCS)
+        .withColumn("telling", (F.col("toxic") - F.col("n") * share) / F.greatest(spread, F.lit(1e-9)))
+        .where(F.col("telling") >= TELLING)
+    )
+    top = counts.orderBy(F.desc("telling"), "feature").limit(FEATURES)
+    return np.array(sorted(r["feature"] for r in top.collect()), dtype=np.int32)
+
+
+def _only(batches: Iterator[pa.RecordBatch], telling: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Keeps the telling features, by their position, and the last sentence's number."""
+    for batch in batches:
+        features, numbers = [], []
+        for own, at in zip(*[batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3)]):
+            place = np.searchsorted(telling, own)
+            place[place == len(telling)] = 0
+            keep = telling[place] == own
+            features.append(np.append(place[keep], -1).astype(np.int32))
+            numbers.append(np.append(at[keep], at[-1]).astype(np.int32))
+        kind = pa.list_(pa.int32())
+        columns = [batch.column(0), batch.column(1), pa.array(features, kind), pa.array(numbers, kind)]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "y", "feature", "sentence"])
 
 
 def _instances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,37 +175,18 @@ def _instances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["key", "y", "feature", "sentence"])
 
 
-def _fit(table: pa.Table, sizes: dict[int, int]) -> ToxicityModel:
+def _fit(table: pa.Table, telling: np.ndarray, sizes: dict[int, int]) -> ToxicityModel:
     y = table.column("y").to_numpy()
-    if not len(y):
-        return ToxicityModel({}, -30.0)
     lists = table.column("feature").combine_chunks()
-    lengths = np.diff(lists.offsets.to_numpy())
-    doc = np.repeat(np.arange(len(y)), lengths)
-    feature = lists.values.to_numpy()
+    doc = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
+    column = lists.values.to_numpy()
     sentence = table.column("sentence").combine_chunks().values.to_numpy()
-    last = feature < 0
+    last = column < 0
     count = np.zeros(len(y))
     count[doc[last]] = sentence[last]
-    doc, feature, sentence = doc[~last], feature[~last], sentence[~last]
-
-    held = np.unique(doc.astype(np.int64) * (_HASH + 1) + feature)
-    of, what = held // (_HASH + 1), held % (_HASH + 1)
-    docs_with = np.bincount(what, minlength=_HASH + 1)
-    toxic_with = np.bincount(what, weights=y[of], minlength=_HASH + 1)
-    share = y.mean()
-    spread = np.sqrt(np.maximum(docs_with * share * (1 - share), 1e-9))
-    telling = np.where(docs_with >= LEAST_DOCS, (toxic_with - docs_with * share) / spread, 0)
-    chosen = np.argsort(-telling, kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[telling[chosen] >= TELLING])
-    if not len(chosen):
-        return ToxicityModel({}, -30.0)
-
-    place = np.full(_HASH + 1, -1)
-    place[chosen] = np.arange(len(chosen))
-    keep = place[feature] >= 0
-    instance, inverse = np.unique(doc[keep] * (1 << 32) + sentence[keep], return_inverse=True)
-    owner, column = instance >> 32, place[feature[keep]]
+    doc, column, sentence = doc[~last], column[~last], sentence[~last]
+    instance, inverse = np.unique(doc * (1 << 32) + sentence, return_inverse=True)
+    owner = instance >> 32
     plain = count - np.bincount(owner, minlength=len(y))
     per_class = np.array([max(1, (y == c).sum()) for c in (0, 1)])
     weight = np.array([sizes.get(c, 0) for c in (0, 1)]) / per_class
@@ -188,13 +202,13 @@ def _fit(table: pa.Table, sizes: dict[int, int]) -> ToxicityModel:
         grad = np.bincount(column, weights=slope[inverse], minlength=len(w)) + RIDGE * w / len(w)
         return np.append(grad, slope.sum() + (pull * plain).sum() / (1 + np.exp(-bias)))
 
-    theta = np.append(np.zeros(len(chosen)), -6.0)
+    theta = np.append(np.zeros(len(telling)), -6.0)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):  # Adam with its usual constants
         g = loss_gradient(theta)
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         theta -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return ToxicityModel({int(f): float(w) for f, w in zip(chosen, theta)}, float(theta[-1]))
+    return ToxicityModel({int(f): float(w) for f, w in zip(telling, theta)}, float(theta[-1]))
 
 
 def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
