@@ -9,6 +9,7 @@ from levyflow.llm import sharding, toxicity
 from levyflow.llm.caps import cap_components
 from levyflow.llm.multi_index import nearest
 from levyflow.llm.packing import pack
+from levyflow.llm.sampling import sample_segmentations
 from levyflow.llm.secret_scan import find_secrets, span_report
 from levyflow.llm.simhash import simhash_components
 from levyflow.llm.token_counts import edited_counts, spread_edits
@@ -73,6 +74,10 @@ def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_segmentations(_table(spark, sf_dir, "documents"), ids=False)
+
+
 def _held_out(key: str) -> Column:
     """A third of the documents by their key; their labels are never learnt from."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -108,6 +113,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_warc": op4_warc,
     "op5_best_fit": op5_best_fit,
+    "op6_segmentations": op6_segmentations,
     "op7_toxicity": op7_toxicity,
     "op8_multi_index": op8_multi_index,
     "op9_token_counts": op9_token_counts,
