@@ -1,12 +1,12 @@
 """Best-fit packing of tokenised documents into sequences of a fixed length.
 
-The packing is bulk-synchronous. A round sorts the waiting pieces and the open gaps by length and
-sweeps them downwards: a piece takes the smallest gap at or above its length that no longer piece has
-taken. Then all gaps shrink at once and the next round begins. Pieces of one length are
-interchangeable, and so are gaps of one size, so a sweep works on runs of ranks: its state has at most
-one run for each length and each split of a gap, which depends on the sequence length and not on the
-corpus. Spark tokenises, counts the lengths, ranks the pieces in parallel, and places them by their
-rank in the runs.
+The packing is bulk-synchronous. A round takes all waiting pieces of the longest length, sorts the open
+gaps and sweeps them upwards from the length's successor: the pieces fill the smallest gap that takes
+them, then the next. Pieces of one length and gaps of one size are interchangeable, so conflicts are
+resolved by rank, and a run of ranks moves at once. Then the gaps shrink and the next round begins. There
+is a round for each length, and the outcome is that of best-fit decreasing. The state has a run for each
+gap size and split, which depends on the sequence length and not on the corpus. Spark tokenises, counts
+the lengths, ranks the pieces in parallel, and places them by their rank in the runs.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
@@ -139,48 +140,50 @@ _ARROW = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()
 
 
 class Rounds:
-    """The rounds over runs. A gap run is ``(first sequence, count)`` of one gap size; a placement is
-    ``(length, first rank, count, first sequence, offset)``."""
+    """The rounds over runs. A gap run is ``(first sequence, count)`` of one gap size. A placement is
+    ``(length, first rank, pieces in a sequence, first sequence, offset)``, in the order of ranks."""
 
     def __init__(self, max_tokens: int):
         self.max_tokens, self.opened, self.placed = max_tokens, 0, []
         self.gaps: dict[int, list[tuple[int, int]]] = {}
+        self.sizes: list[int] = []
 
     def run(self, counts: dict[int, int]) -> np.ndarray:
-        waiting, taken = {n: c for n, c in counts.items() if c}, defaultdict(int)
-        while waiting:
-            if not self._sweep(waiting, taken):
-                # No gap takes any of the rest: open as many sequences as its tokens need at least.
-                more = -(-sum(n * c for n, c in waiting.items()) // self.max_tokens)
-                self.gaps.setdefault(self.max_tokens, []).append((self.opened, more))
-                self.opened += more
+        for length in sorted(counts, reverse=True):
+            self._round(length, counts[length])
         return np.array(sorted(self.placed), dtype=np.int64).reshape(-1, 5)
 
-    def _sweep(self, waiting: dict[int, int], taken: dict[int, int]) -> bool:
-        """One round: match downwards by successor, then shrink the gaps that were taken."""
-        sizes, ahead, shrunk = sorted(self.gaps, reverse=True), [], defaultdict(list)
-        for length in sorted(waiting, reverse=True):
-            while sizes and sizes[0] >= length:
-                ahead.append(sizes.pop(0))
-            while waiting[length] and ahead:
-                gap = ahead[-1]
-                first, count = self.gaps[gap].pop()
-                used = min(count, waiting[length])
-                if used < count:
-                    self.gaps[gap].append((first + used, count - used))
-                self.placed.append((length, taken[length], used, first, self.max_tokens - gap))
-                shrunk[gap - length].append((first, used))
-                waiting[length] -= used
-                taken[length] += used
-                if not self.gaps[gap]:
-                    del self.gaps[gap]
-                    ahead.pop()
-            if not waiting[length]:
-                del waiting[length]
+    def _round(self, length: int, waiting: int) -> None:
+        rank, shrunk, at = 0, defaultdict(list), bisect_left(self.sizes, length)
+        while rank < waiting:
+            if at == len(self.sizes):  # no gap takes the rest
+                each = self.max_tokens // length
+                self._keep(self.max_tokens, [(self.opened, -(-(waiting - rank) // each))])
+                self.opened += self.gaps[self.max_tokens][0][1]
+            gap = self.sizes[at]
+            each, runs = gap // length, self.gaps[gap]
+            first, count = runs.pop()
+            full, rest = divmod(min(waiting - rank, count * each), each)
+            used = full + bool(rest)
+            self.placed.append((length, rank, each, first, self.max_tokens - gap))
+            rank += full * each + rest
+            if full:
+                shrunk[gap - each * length].append((first, full))
+            if rest:
+                shrunk[gap - rest * length].append((first + full, 1))
+            if used < count:
+                runs.append((first + used, count - used))
+            if not runs:
+                del self.gaps[gap]
+                self.sizes.pop(at)
         for gap, runs in shrunk.items():
             if gap:
-                self.gaps[gap] = _merged(self.gaps.get(gap, []) + runs)
-        return bool(shrunk)
+                self._keep(gap, runs)
+
+    def _keep(self, gap: int, runs: list[tuple[int, int]]) -> None:
+        if gap not in self.gaps:
+            insort(self.sizes, gap)
+        self.gaps[gap] = _merged(self.gaps.get(gap, []) + runs)
 
 
 def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -220,7 +223,9 @@ def pack(
         wanted = length.to_numpy() * _RANKS + rank.to_numpy()
         at = np.searchsorted(order, wanted, side="right") - 1
         assert len(wanted) == 0 or (lengths[at] == length.to_numpy()).all()
-        return pd.DataFrame({"sequence_id": table[at, 3] + rank.to_numpy() - table[at, 1], "offset": table[at, 4]})
+        within, each = rank.to_numpy() - table[at, 1], table[at, 2]
+        offset = table[at, 4] + within % each * lengths[at]
+        return pd.DataFrame({"sequence_id": table[at, 3] + within // each, "offset": offset})
 
     ranked = pieces.join(before, ["task", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
     placed = ranked.withColumn("place", place("length", "rank"))
