@@ -1,0 +1,67 @@
+import numpy as np
+import pytest
+
+from levyflow.llm.catalog import QUERIES
+from levyflow.llm.multi_index import nearest, visited_cells
+from tests.llm.tables import with_clashes
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(ids, points, queries, k):
+    out = []
+    for q in queries:
+        scores = (points * points[q]).sum(axis=1)
+        order = [j for j in np.lexsort((ids, -scores)) if j != q][:k]
+        out += [(ids[q], rank, ids[j], scores[j]) for rank, j in enumerate(order, 1)]
+    return out
+
+
+@pytest.mark.parametrize("wanted", [1, 40, 10**6])
+def test_cells_are_visited_in_order(wanted):
+    rng = np.random.default_rng(wanted)
+    first, second, counts = rng.standard_normal(9), rng.standard_normal(9), rng.integers(0, 5, (9, 9))
+    sums = (first[:, None] + second[None, :]).ravel()
+    order = np.argsort(-sums)
+    enough = np.searchsorted(np.cumsum(counts.ravel()[order]), wanted) + 1
+    assert set(np.flatnonzero(visited_cells(first, second, counts, wanted))) == set(order[:enough].tolist())
+
+
+def test_recall_on_vectors_without_clusters(spark):
+    sf_dir = "/root/testdata/check_s"
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas()
+    ids, points = table.vec_id.to_numpy(), np.stack(table.embedding).astype(np.float64)
+    queries = np.flatnonzero(ids % 20 == 0)
+    got = QUERIES["op8_multi_index"](spark, sf_dir).toPandas()
+    assert got.groupby("query_id").size().eq(20).all() and got.query_id.nunique() == len(queries)
+    place = {v: i for i, v in enumerate(ids)}
+    exact = [points[place[a]] @ points[place[b]] for a, b in zip(got.query_id, got.vec_id)]
+    assert np.allclose(got.score, exact, rtol=0, atol=1e-14)
+    best = {(q, v) for q, _, v, _ in brute(ids, points, queries, 20)}
+    assert len(best & set(zip(got.query_id, got.vec_id))) / len(best) >= 0.93
+
+
+@pytest.mark.parametrize("rows", [1, 2, 30, 400])
+def test_small_tables_are_searched_whole(spark, rows):
+    rng = np.random.default_rng(rows)
+    points = rng.standard_normal((rows, 6)).astype(np.float32)
+    points[rows // 2 :: 3] = points[0]  # ties
+    ids = np.arange(rows) * 5
+    odd = [(9001, None), (9020, [0.0] * 6), (9040, [float("nan")] * 6), (9060, [1.0, None] * 3), (None, [1.0] * 6), (9080, [1.0])]
+    table = spark.createDataFrame([(int(i), p.tolist(), 0) for i, p in zip(ids, points)] + [(*o, 0) for o in odd], SCHEMA)
+    got = sorted(tuple(r) for r in nearest(with_clashes(table.repartition(3)), lambda c: c % 20 == 0).collect())
+    exact = sorted(brute(ids, points.astype(np.float64), np.flatnonzero(ids % 20 == 0), 20))
+    if rows == 1:  # then as many vectors have one component as six
+        exact = []
+    assert [g[:3] for g in got] == [e[:3] for e in exact]
+    assert np.allclose([g[3] for g in got], [e[3] for e in exact], rtol=0, atol=1e-12)
+
+
+def test_repeated_rows_are_candidates_of_each_other(spark):
+    table = spark.createDataFrame([(0, [1.0, 2.0], 0), (0, [1.0, 2.0], 0), (1, [2.0, 1.0], 0)], SCHEMA)
+    got = sorted(tuple(r) for r in nearest(table, lambda c: c % 20 == 0).collect())
+    assert got == [(0, 1, 0, 5.0)] * 2 + [(0, 2, 1, 4.0)] * 2
+
+
+def test_no_rows(spark):
+    assert nearest(spark.createDataFrame([], SCHEMA), lambda c: c % 20 == 0).count() == 0

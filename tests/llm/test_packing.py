@@ -1,0 +1,77 @@
+import zlib
+from bisect import bisect_left, insort
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from levyflow.llm.packing import Rounds, default_tokenizer, pack, word_ids
+from tests.llm.tables import no_documents, odd_documents, prose
+
+TEXTS = [
+    "", " ", "Hello, World!", "it's they'll WE'RE 'sab ''s !'s", "a1b22 3.5% x_y", "straße ÀÉ ẞ ﬁ ªº µ İstanbul ΣΑΣ", "é ́x",
+    "漢字かな 🙂🙂", "<|endoftext|> <|startoftext|>x<|", "a\x1cb \x85c　d​e", "word... (end)? \"q\" --", "﻿bom \x00nul", prose(500, 3),
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_ids_are_the_tokenizers_own(text):
+    whole = Tokenizer.from_file(default_tokenizer()).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(word_ids(default_tokenizer())(text), dtype="<u4").tolist() == whole
+
+
+@pytest.mark.parametrize("limit", [4096, 64])
+def test_every_piece_has_a_place(spark, limit):
+    docs = odd_documents(spark)
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    expected = []
+    for r in docs.collect():
+        ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1]
+        for piece, at in enumerate(range(0, len(ids), limit)):
+            part = np.array(ids[at : at + limit], dtype="<u4")
+            expected.append((r.doc_id, piece, at, len(part), zlib.crc32(part.tobytes())))
+    got = pack(docs, max_tokens=limit).collect()
+    assert sorted([tuple(r)[:5] for r in got], key=repr) == sorted(expected, key=repr)
+    places = defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    for own in places.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= limit
+    assert len(places) == best_fit_decreasing([r.length for r in got], limit)
+
+
+def best_fit_decreasing(lengths, limit):
+    gaps, opened = [], 0
+    for n in sorted(lengths, reverse=True):
+        at = bisect_left(gaps, n)
+        gap = gaps.pop(at) if at < len(gaps) else limit
+        opened += gap == limit
+        if gap > n:
+            insort(gaps, gap - n)
+    return opened
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_rounds_are_best_fit_decreasing(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.minimum(4096, rng.lognormal([3, 5, 6, 7, 2, 7.9][seed], [1, 1.2, 0.5, 0.2, 2, 0.3][seed], 20_000).astype(int) + 1)
+    values, counts = (x.tolist() for x in np.unique(lengths, return_counts=True))
+    rounds = Rounds(4096)
+    rounds.run(dict(zip(values, counts)))
+    assert rounds.opened == best_fit_decreasing(lengths.tolist(), 4096)
+
+
+def test_runs_do_not_grow_with_the_corpus():
+    lengths = np.minimum(4096, np.random.default_rng(1).lognormal(6, 1, 50_000).astype(int) + 1)
+    values, counts = np.unique(lengths, return_counts=True)
+    runs = [len(Rounds(4096).run({int(v): times * int(c) for v, c in zip(values, counts)})) for times in (1, 1000)]
+    assert runs[1] < 3 * runs[0]
+
+
+def test_no_rows(spark):
+    assert pack(no_documents(spark)).count() == 0
