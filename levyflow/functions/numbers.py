@@ -9,6 +9,9 @@ from operator import add, sub
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Wide enough for sums of any number of rows; four decimals hold an amount times a percentage.
+MONEY = "decimal(28,4)"
+
 # A comma may only stand between groups of three digits before the decimal point.
 GROUPED_NUMBER = r"^\s*[+-]?(\d{1,3}(,\d{3})+|\d+)?(\.\d*)?([eE][+-]?\d+)?\s*$"
 
@@ -43,11 +46,12 @@ def clean_number(text: Column, on_error: str = "fail", strict: bool = False) ->
 def to_integer(text: Column) -> Column:
     """Int from text, null where it is not a number; ``2025.7`` is cut to 2025.
 
-    This is the lenient (non-ANSI) cast. The regular expression only runs on rows
-    that a plain cast rejects.
+    This is the lenient (non-ANSI) cast, for which ``.5`` and even ``.`` are 0. The regular expressions only
+    run on rows that a plain cast rejects.
     """
     whole = F.regexp_extract(text, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
-    return F.coalesce(text.try_cast("int"), whole.try_cast("int"))
+    fraction = F.when(text.rlike(r"^\s*[+-]?\.\d*\s*$"), 0)
+    return F.coalesce(text.try_cast("int"), whole.try_cast("int"), fraction)
 
 
 def to_money(value: Column | str, digits: int = 18, places: int = 4) -> Column:

@@ -69,6 +69,17 @@ def test_to_integer_is_lenient(spark):
     ]
 
 
+def test_to_integer_is_the_cast_without_ansi(spark):
+    values = [".", ".5", "-.7", "+.5", "5.", " .5 ", "+.", ".5e1", "-", "", "1 2", "2147483648", "-0.9", None, "+7", "7-"]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    got = evaluate(spark, values, to_integer)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert got == evaluate(spark, values, lambda v: v.cast("int"))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_net_amount_is_null_with_any_null_term_and_rounds_half_up(spark):
     rows = spark.createDataFrame(
         [(1, 10.0, 5.0, 2.5), (2, 10.0, None, 1.0), (3, 1.0, 1.0, 9.0), (4, 0.125, 0.0, 0.0)],

@@ -96,3 +96,11 @@ def test_groups_sum_up_to_the_table(spark, sf_dir):
     assert sum(r["num_rows"] for r in rows) == lines.count()
     assert all(abs(r["avg_tax"] - r["total_tax"] / r["num_rows"]) < 0.01 for r in rows)
     assert all(a["period"] < b["period"] for a, b in itertools.pairwise(rows))
+
+
+def test_nothing_is_rounded_before_it_is_added(spark):
+    tiny = spark.range(100_000).select(F.lit(1).alias("k"), F.lit(0.00004).alias("v"), F.lit(1e20).alias("w"))
+    row = summarize(tiny, ["k"], {"v": "v", "w": "w"}).first()
+    assert row["total_v"] == 4.0 and row["total_w"] == pytest.approx(1e25)
+    cents = spark.createDataFrame([(1, 0.1), (1, 0.2), (1, None), (2, 1e30), (2, 0.5)], "k int, v double")
+    assert [tuple(r) for r in summarize(cents, ["k"], {"v": "v"}).collect()] == [(1, 0.3, 0.15, 3), (2, 1e30, 5e29, 2)]
