@@ -21,13 +21,16 @@ def regression_metrics(
     """``(model, rmse, mse, mae, r2)`` for every prediction column, all from one pass.
 
     ``predictions`` maps a model's name to its column. With ``by``, one row per model
-    and group.
+    and group. Rows without a label or without a model's prediction count for nothing in
+    that model's row.
     """
     y = F.col(label).cast("double")
-    wanted = [F.var_pop(y).alias("variance")]
+    wanted = []
     for i, column in enumerate(predictions.values()):
         error = F.col(column) - y
-        wanted += [F.avg(error * error).alias(f"mse{i}"), F.avg(F.abs(error)).alias(f"mae{i}")]
+        explained = F.when(F.col(column).isNotNull(), y)
+        wanted += [F.avg(error * error).alias(f"mse{i}"), F.avg(F.abs(error)).alias(f"mae{i}"),
+                   F.var_pop(explained).alias(f"variance{i}")]
     totals = df.groupBy(*by).agg(*wanted)
     per_model = F.array(
         *[
@@ -36,7 +39,7 @@ def regression_metrics(
                 F.sqrt(f"mse{i}").alias("rmse"),
                 F.col(f"mse{i}").alias("mse"),
                 F.col(f"mae{i}").alias("mae"),
-                _r2(F.col(f"mse{i}"), F.col("variance")).alias("r2"),
+                _r2(F.col(f"mse{i}"), F.col(f"variance{i}")).alias("r2"),
             )
             for i, name in enumerate(predictions)
         ]

@@ -68,3 +68,11 @@ def test_runs_stack_by_name_and_compare_with_the_base(spark):
     assert {r["env"]: r["speedup"] for r in runs.collect()} == {"one": 1.0, "three": 0.25}
     with pytest.raises(ValueError):
         compare_to_base(stack_runs({"one": one}), "missing")
+
+
+def test_rows_without_a_prediction_do_not_count(spark):
+    rows = [(1.0, 1.1), (2.0, 2.1), (3.0, 2.9), (100.0, None), (None, 5.0)]
+    df = spark.createDataFrame(rows, "y double, p double")
+    row = regression_metrics(df, {"m": "p"}, "y").first()
+    alone = regression_metrics(df.dropna(), {"m": "p"}, "y").first()
+    assert all(row[c] == pytest.approx(alone[c]) for c in ("rmse", "mse", "mae", "r2"))
