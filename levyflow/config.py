@@ -79,6 +79,12 @@ REPORT_SUFFIXES = {
     "MONTO_BARRIDO_CALLE": "barrido_calle",
 }
 
+REPORT_COUNT, REPORT_NET = "num_emisiones", "monto_total_neto"
+SUMMARY_NAME, TOP_NAME = "query1_groupby_periodo", "query2_top_predios"
+MLP_NAME, SVR_NAME = "MLPRegressor", "SVRegressor"
+CURVE_NAMES = {"MLPRegressor": "mlp_regressor", "SVRegressor": "svr_regressor"}
+FOREST_NAME, PERCEPTRON_NAME = "RandomForest", "MLPClassifier"
+
 EXCLUSIVE_LABEL, SHARED_LABEL = "Exclusivo", "Compartido"
 
 MLP_HIDDEN, MLP_EPOCHS, MLP_RATE = 16, 100, 0.05
@@ -112,6 +118,8 @@ class LevyConfig:
     # The first format is the one later jobs read back; the others are exports of it.
     table_formats: tuple[str, ...] = ("parquet", "json")
     on_error: str = "fail"
+    # Whether commas may only group thousands.
+    strict_numbers: bool = False
 
     @property
     def decimals(self) -> tuple[str, ...]:

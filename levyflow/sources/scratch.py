@@ -25,6 +25,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder before the driver ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="levyflow-")

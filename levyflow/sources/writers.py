@@ -2,23 +2,34 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 LOSS_SCHEMA = "epoch int, loss double"
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a table, one file per task."""
+    """Overwrite a table, one file per task.
+
+    With ``partition_by`` the rows are dealt to tasks by those columns first: large partitions are
+    split and small ones share a task, so the number of files follows the data and not the width
+    of whatever shuffle came before.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(path)
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """One part file, for report-sized results.
+def write_single_file(
+    df: DataFrame, path: str, fmt: str = "json", order: Sequence[str | Column] = ()
+) -> None:
+    """One part file, for report-sized results, sorted by ``order``.
 
     ``repartition`` and not ``coalesce``: the work upstream keeps its parallelism and
-    only the finished rows meet in one task.
+    only the finished rows meet in one task. They are sorted there, as rows that come through a
+    shuffle have no order.
     """
-    df.repartition(1).write.mode("overwrite").format(fmt).save(path)
+    met = df.repartition(1)
+    (met.sortWithinPartitions(*order) if order else met).write.mode("overwrite").format(fmt).save(path)
 
 
 def write_metrics(df: DataFrame, out: str, name: str) -> None:
