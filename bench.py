@@ -54,7 +54,7 @@ def whole_job(spark: SparkSession, sf_dir: str, times: dict[str, float]) -> None
     fact = load_fact(spark, out)
     timed(times, "job_reports", lambda: run_reports(spark, fact, out, period=LEVY_PERIOD))
     timed(times, "job_regression", lambda: run_regression(spark, fact, out).metrics.collect())
-    timed(times, "job_classification", lambda: run_classification(spark, fact, out).collect())
+    timed(times, "job_classification", lambda: run_classification(spark, fact, out).metrics.collect())
 
 
 def main() -> None:

@@ -142,20 +142,62 @@ def _fixed_plans(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def descend(blocks: Blocks, tasks: Sequence[Task]) -> list[Fit]:
-    """Train all ``tasks``; an epoch of every unfinished one is a single Spark job."""
+def descend(blocks: Blocks, tasks: Sequence[Task], store: str | None = None, every: int = 50) -> list[Fit]:
+    """Train all ``tasks``; an epoch of every unfinished one is a single Spark job.
+
+    With ``store``, a folder, the weights and losses so far are written there after each ``every``
+    epochs and at the end. A call that finds some goes on from the last of them.
+    """
     with _fixed_plans(blocks.data.sparkSession):
-        return _descend(blocks, tasks)
+        return _descend(blocks, tasks, store, every)
+
+
+STATE_SCHEMA = "name string, epoch int, theta array<double>, losses array<double>, objectives array<double>"
+
+
+def load_weights(spark: SparkSession, store: str) -> dict[str, tuple[int, np.ndarray, list[tuple[int, float, float]]]]:
+    """By model the last stored epoch, the weights after it, and the history up to it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return {}
+    # A folder without the success mark was being written when its driver was lost.
+    done = [str(s.getPath()) for s in files.listStatus(path)
+            if files.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    found: dict[str, tuple[int, np.ndarray, list[tuple[int, float, float]]]] = {}
+    for r in spark.read.schema(STATE_SCHEMA).parquet(*done).collect() if done else []:
+        if r["name"] not in found or r["epoch"] > found[r["name"]][0]:
+            history = list(zip(range(1, r["epoch"] + 1), r["losses"], r["objectives"]))
+            found[r["name"]] = (r["epoch"], np.array(r["theta"]), history)
+    return found
+
+
+def _save(spark: SparkSession, store: str, epoch: int, tasks: Sequence[Task], thetas: dict, history: dict) -> None:
+    rows = [
+        (t.name, len(history[t.name]), thetas[t.name].tolist(), [h[1] for h in history[t.name]],
+         [h[2] for h in history[t.name]])
+        for t in tasks
+    ]
+    table = spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1)
+    table.write.mode("overwrite").parquet(f"{store}/epoch-{epoch:06d}")
 
 
-def _descend(blocks: Blocks, tasks: Sequence[Task]) -> list[Fit]:
+def _descend(blocks: Blocks, tasks: Sequence[Task], store: str | None, every: int) -> list[Fit]:
+    spark = blocks.data.sparkSession
     thetas = {
         t.name: np.array(t.loss.start(t.seed) if t.theta is None else t.theta, dtype=np.float64)
         for t in tasks
     }
     history: dict[str, list[tuple[int, float, float]]] = {t.name: [] for t in tasks}
-    for epoch in range(1, max(t.epochs for t in tasks) + 1):
-        live = [t for t in tasks if epoch <= t.epochs]
+    if store:
+        for name, (_, theta, past) in load_weights(spark, store).items():
+            if name in thetas:
+                thetas[name], history[name] = theta, past
+    last = max(t.epochs for t in tasks)
+    for epoch in range(1, last + 1):
+        live = [t for t in tasks if len(history[t.name]) < epoch <= t.epochs]
+        if not live:
+            continue
         sums = gradient_sums(blocks, [t.loss for t in live], [thetas[t.name] for t in live])
         for task, (gradient, value) in zip(live, sums):
             theta = thetas[task.name]
@@ -163,4 +205,6 @@ def _descend(blocks: Blocks, tasks: Sequence[Task]) -> list[Fit]:
             mean_loss = value / blocks.rows
             history[task.name].append((epoch, mean_loss, mean_loss + penalty))
             thetas[task.name] = theta - task.rate * (gradient / blocks.rows + pull)
+        if store and (epoch % every == 0 or epoch == last):
+            _save(spark, store, epoch, tasks, thetas, history)
     return [Fit(t.name, t.loss, thetas[t.name], tuple(history[t.name])) for t in tasks]

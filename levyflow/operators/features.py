@@ -10,8 +10,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from levyflow.functions.scaling import scale
+from levyflow.sources.scratch import scratch_path
 
 STD_FLOOR = 1e-6
 
@@ -113,14 +115,17 @@ def label_frequencies(df: DataFrame, label: str) -> DataFrame:
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    # The id holds the partition number in its upper bits and the position below. Cached:
+    # The id holds the partition number in its upper bits and the position below. Written down, as
     # both steps must see the same sort.
-    ordered = counts.orderBy(F.desc("rows"), F.asc("label")).select(
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "labels")
+    counts.orderBy(F.desc("rows"), F.asc("label")).select(
         "label", "rows", F.monotonically_increasing_id().alias("id")
-    ).persist()
-    part, position = F.shiftright("id", 33), F.col("id").bitwiseAND((1 << 33) - 1)
-    sizes = sorted(map(tuple, ordered.groupBy(part.alias("part")).count().collect()))
+    ).write.mode("overwrite").parquet(path)
+    schema = T.StructType([counts.schema["label"], T.StructField("rows", T.LongType()), T.StructField("id", T.LongType())])
+    ordered = spark.read.schema(schema).parquet(path).withColumn("part", F.shiftright("id", 33))
+    # A row for each partition of the sort, which is no more than the shuffle is wide.
+    sizes = sorted(map(tuple, ordered.groupBy("part").count().collect()))
     before = accumulate((size for _, size in sizes), initial=0)
-    offsets = F.create_map(*[F.lit(v) for (number, _), n in zip(sizes, before) for v in (number, n)])
-    index = (position + offsets[part]) if sizes else position
-    return ordered.select("label", "rows", index.cast("int").alias("index"))
+    offsets = spark.createDataFrame([(part, n) for (part, _), n in zip(sizes, before)], "part long, before long")
+    index = F.col("before") + F.col("id").bitwiseAND((1 << 33) - 1)
+    return ordered.join(offsets, "part").select("label", "rows", index.cast("int").alias("index"))

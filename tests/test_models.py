@@ -94,7 +94,7 @@ def test_cache_spreads_a_partition_that_holds_most_rows(spark):
     try:
         sizes = [r["count"] for r in cached.data.groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        cached.data.unpersist()
+        cached.release()
     assert cached.samples == sum(sizes) == 100_700
     assert len(sizes) == cached.partitions == 8 and max(sizes) < 2 * min(sizes)
 
@@ -199,3 +199,41 @@ def test_both_regressors_learn_a_line(spark):
     losses = [loss for _, loss in mlp_fit.curve]
     assert all(b < a for a, b in zip(losses, losses[1:]))
     assert [e for e, _ in svr_fit.curve] == list(range(1, 121)) and svr_fit.curve[-1][1] < svr_fit.curve[0][1]
+
+
+def test_gaps_give_the_same_answers_in_both_forms(spark):
+    loss, odd = MlpLoss(2, hidden=3), [None, float("nan"), float("inf"), float("-inf"), 0.5]
+    df = spark.createDataFrame([(a, b) for a in odd for b in odd], "x1 double, x2 double")
+    theta = loss.start(5)
+    got = df.select(mlp_expression(loss, ["x1", "x2"], theta).alias("a"), mlp_vectorized(loss, ["x1", "x2"], theta).alias("b"))
+    rows = got.collect()
+    assert all((r.a is None) == (r.b is None) for r in rows) and any(r.a is None for r in rows)
+    known = np.array([r for r in rows if r.a is not None], dtype=float)
+    assert np.isnan(known).any() and np.allclose(known[:, 0], known[:, 1], equal_nan=True)
+
+
+def test_training_goes_on_from_stored_weights(spark, tmp_path):
+    def tasks(epochs):
+        return [Task("svr", SvrLoss(2), epochs, 0.2), Task("mlp", MlpLoss(2, 3), min(epochs, 5), 0.1)]
+
+    blocks = pack_blocks(line(spark, 500), ["x1", "x2"], "y")
+    try:
+        whole = descend(blocks, tasks(8))
+        descend(blocks, tasks(3), str(tmp_path / "w"), every=2)
+        (tmp_path / "w" / "epoch-000009").mkdir()  # cut off while it was written
+        resumed = descend(blocks, tasks(8), str(tmp_path / "w"), every=2)
+        again = descend(blocks, tasks(8), str(tmp_path / "w"), every=2)
+    finally:
+        blocks.release()
+    for a, b, c in zip(whole, resumed, again):
+        assert a.theta.tolist() == b.theta.tolist() == c.theta.tolist() and a.history == tuple(map(tuple, b.history))
+
+
+def test_small_partitions_are_read_together_without_a_shuffle(spark):
+    df = line(spark, 4000).repartition(40)
+    cached = cache_spread(df, F.lit(1), 8)
+    try:
+        assert cached.partitions == cached.data.rdd.getNumPartitions() == 1 and cached.data.count() == 4000
+        assert "Exchange" not in cached.data._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    finally:
+        cached.release()

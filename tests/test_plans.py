@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from levyflow import LevyConfig
 from levyflow.catalog.inputs import LEVY_PERIOD, levy
 from levyflow.catalog.jobs import write_levy_text
-from levyflow.catalog.models import _CLASS_FEATURES, KEYS, _priced
+from levyflow.catalog.classifiers import _CLASS_FEATURES, KEYS, _priced
 from levyflow.config import RAW_COLUMNS
 from levyflow.models import MlpLoss, SvrLoss, Task
 from levyflow.plans import build_tables, load_fact, load_raw, run_classification, run_etl, run_regression
@@ -140,7 +140,7 @@ def test_classifiers_beat_the_majority_class(spark):
         _priced(spark, SMALL), "price_class", _CLASS_FEATURES, KEYS,
         standardized=True, with_baseline=True, trees=20, iterations=40,
     )
-    accuracy = {r["model"]: r["accuracy"] for r in metrics.collect()}
+    accuracy = {r["model"]: r["accuracy"] for r in metrics.metrics.collect()}
     assert accuracy["RandomForest"] > accuracy["MajorityClass"] + 0.2
     assert accuracy["MLPClassifier"] > accuracy["MajorityClass"] + 0.2
 
@@ -152,3 +152,52 @@ def test_classification_writes_one_row_per_model(spark, stored):
     rows = [json.loads(line) for line in part.read_text().splitlines()]
     assert {r["model"] for r in rows} == {"RandomForest", "MLPClassifier"}
     assert all(list(r) == ["model", "accuracy", "precision", "recall", "f1"] for r in rows)
+
+
+def test_files_of_a_period_do_not_grow_with_shuffle_width(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    text, files = write_levy_text(spark, SMALL), []
+    try:
+        for width in ("4", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            run_etl(spark, text, str(tmp_path / width))
+            files.append(len(list((tmp_path / width / "tables/emisiones.parquet").rglob("part-*.parquet"))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    periods = levy(spark, SMALL).select("PERIODO").distinct().count()
+    assert max(files) <= 2 * periods
+
+
+def test_staging_is_gone_and_rejects_are_counted(spark, tmp_path, monkeypatch):
+    from levyflow.plans import etl
+
+    paths, make = [], etl.scratch_path
+    monkeypatch.setattr(etl, "scratch_path", lambda s, label: paths.append(make(s, label)) or paths[-1])
+    rows = ["20250131;2025;T1;N;P1;100;1,257.60;abc;1;1;0;0;0;0;D;P;D;000001",
+            "20250131;2025;T1;N;P2;100;1.257,60;1;1;1;0;0;0;0;D;P;D;000001"]
+    (tmp_path / "raw.csv").write_text("\n".join([";".join(RAW_COLUMNS), *rows]) + "\n")
+    for strict, rejected in ((False, 1), (True, 2)):
+        config = LevyConfig(on_error="null", strict_numbers=strict)
+        counts = run_etl(spark, str(tmp_path / "raw.csv"), str(tmp_path / str(strict)), config).collect()
+        assert ("rejected", rejected) in [tuple(r) for r in counts]
+        assert "__rejected" not in load_fact(spark, str(tmp_path / str(strict)), config).columns
+    assert len(paths) == 2 and not any(Path(p.removeprefix("file:")).exists() for p in paths)
+
+
+def test_forest_takes_many_classes(spark):
+    rows = spark.range(6000).select(
+        F.col("id").alias("k"), F.concat(F.lit("c"), F.col("id") % 2000).alias("kind"), (F.col("id") % 2000).cast("double").alias("x"))
+    gaps = rows.withColumn("x", F.when(F.col("k") > 4, F.col("x")))
+    run = compare_classifiers(gaps, "kind", ["x"], ["k"], trees=1, depth=2, models=["RandomForest"], with_baseline=True)
+    assert sum(run.rows.values()) == 6000 and run.rows["dropped"] == 5
+    assert {r["model"] for r in run.metrics.collect()} == {"RandomForest", "MajorityClass"}
+
+
+def test_classification_scaling_can_leave_test_rows_out(spark):
+    rows = spark.range(400).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("kind"),
+                                   F.col("id").cast("double").alias("x"))
+    settings = dict(standardized=True, trees=2, depth=2, models=["RandomForest"])
+    for fit_on in ("all", "train"):
+        assert compare_classifiers(rows, "kind", ["x"], ["k"], fit_on=fit_on, **settings).metrics.count() == 1
+    with pytest.raises(ValueError):
+        compare_classifiers(rows, "kind", ["x"], ["k"], fit_on="test", **settings)
