@@ -1,7 +1,8 @@
-"""Scores, gradients and loss curves from fixed starting weights, and the Spark ML classifiers."""
+"""Scores, gradients and loss curves from fixed starting weights."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,6 @@ from levyflow.models.descent import Fit, Task, descend, gradient_sums
 from levyflow.models.mlp import MlpLoss, mlp_predict
 from levyflow.models.svr import SvrLoss, svr_predict
 from levyflow.models.svr import svr_gradient as svr_step
-from levyflow.plans.classification import FOREST_NAME, PERCEPTRON_NAME, compare_classifiers
 from levyflow.sources.readers import read_table
 from levyflow.sources.scratch import scratch_path
 from levyflow.sources.writers import LOSS_SCHEMA, write_loss_curve
@@ -112,51 +112,37 @@ def loss_curves_shared_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "model string, epoch int, loss double, objective double")
 
 
-_CLASS_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "ship_year"]
-
-
-def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines labelled by whether the net price passes 50000."""
-    return table(spark, sf_dir, "lineitem").select(
-        *KEYS, "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        F.year("l_shipdate").alias("ship_year"),
-        F.when(_net() > 50000, "high").otherwise("low").alias("price_class"),
+# A network as wide as the levy job's, with weights by rule, on eight inputs with gaps.
+WIDE = MlpLoss(8, hidden=16)
+WIDE_TASK = Task("wide", WIDE, 1, 0.1, theta=tuple(round(math.sin(1 + 7 * i) / 3, 6) for i in range(WIDE.size)))
+WIDE_FEATURES = tuple(f"x{i}" for i in range(8))
+
+
+def mlp_predict_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null features give null, NaN ones NaN. Scores are rounded; NaN is shown as text."""
+    columns = ("l_quantity / 50", "l_discount * 10", "l_tax * 10", "l_linenumber / 7", "l_extendedprice / 100000",
+               "l_orderkey % 13 / 13", "l_partkey % 11 / 11", "l_suppkey % 7 / 7")
+    lines = table(spark, sf_dir, "lineitem")
+    inputs = lines.select(*KEYS, *[F.expr(c).cast("double").alias(n) for n, c in zip(WIDE_FEATURES, columns)])
+    gaps = inputs.withColumn("x0", F.when(F.col("l_linenumber") != 3, F.col("x0"))).withColumn(
+        "x1", F.when(F.col("l_linenumber") == 5, float("nan")).otherwise(F.col("x1")))
+    score = mlp_predict(WIDE, WIDE_FEATURES, WIDE_TASK.theta)
+    scored = gaps.select(*KEYS, score.alias("score"))
+    return scored.select(
+        *KEYS, F.when(~F.isnan("score"), F.round("score", 6)).alias("prediction"),
+        F.when(F.isnan("score"), "NaN").when(F.col("score").isNull(), "null").otherwise("number").alias("kind"),
     )
 
 
-def _class_metrics(spark: SparkSession, sf_dir: str, model: str, standardized: bool) -> DataFrame:
-    metrics = compare_classifiers(
-        _priced(spark, sf_dir), "price_class", _CLASS_FEATURES, KEYS,
-        standardized=standardized, with_baseline=True, models=[model],
-    )
-    return metrics.select(
-        "model", *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1")]
-    )
-
-
-def rf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _class_metrics(spark, sf_dir, FOREST_NAME, standardized=False)
-
-
-def mlpc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _class_metrics(spark, sf_dir, PERCEPTRON_NAME, standardized=False)
-
-
-def mlpc_metrics_standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _class_metrics(spark, sf_dir, PERCEPTRON_NAME, standardized=True)
-
-
 QUERIES = {
     "svr_predict": svr_scores,
     "mlp_predict": mlp_scores,
+    "mlp_predict_wide": mlp_predict_wide,
     "svr_gradient": svr_gradient,
     "mlp_gradient": mlp_gradient,
     "loss_curve_svr": loss_curve_svr,
     "loss_curve_mlp": loss_curve_mlp,
     "loss_curves_shared_pass": loss_curves_shared_pass,
-    "rf_metrics": rf_metrics,
-    "mlpc_metrics": mlpc_metrics,
-    "mlpc_metrics_standardized": mlpc_metrics_standardized,
 }
 
 _KEYS_SQL = ", ".join(KEYS)
@@ -176,7 +162,22 @@ def _scores(model: TrainingSql, places: int) -> str:
     """
 
 
+_WIDE_D = f"""
+    SELECT {_KEYS_SQL}, CASE WHEN l_linenumber <> 3 THEN l_quantity / 50 END AS x0,
+           CASE WHEN l_linenumber = 5 THEN CAST('NaN' AS DOUBLE) ELSE l_discount * 10 END AS x1,
+           l_tax * 10 AS x2, l_linenumber / 7 AS x3, l_extendedprice / 100000 AS x4,
+           l_orderkey % 13 / 13 AS x5, l_partkey % 11 / 11 AS x6, l_suppkey % 7 / 7 AS x7
+    FROM lineitem
+"""
+_WIDE_SQL = TrainingSql("wide", WIDE_TASK, WIDE_FEATURES)
+
 ORACLES = {
+    "mlp_predict_wide": f"""
+        WITH d AS ({_WIDE_D}), w AS ({_WIDE_SQL.start()})
+        SELECT {_KEYS_SQL}, CASE WHEN NOT isnan(prediction) THEN round(prediction, 6) + 0.0 END AS prediction,
+               CASE WHEN isnan(prediction) THEN 'NaN' WHEN prediction IS NULL THEN 'null' ELSE 'number' END AS kind
+        FROM ({_WIDE_SQL.scored("d", "w")}) AS scored
+    """,
     "svr_predict": _scores(_SVR_SQL, 9),
     "mlp_predict": _scores(_MLP_SQL, 6),
     "svr_gradient": f"""

@@ -23,6 +23,13 @@ def summary_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(lines, ["period"], amounts, "num_bills")
 
 
+def summary_fine_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts far below a hundredth: nothing may be rounded before it is added."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", (F.col("l_tax") / 1000).alias("rate"), (F.col("l_tax") / 1e6).alias("fine"))
+    return summarize(lines, ["l_returnflag"], {"rate": "rate", "fine": "fine"}, places=8)
+
+
 def _net_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     tax = price * F.col("l_tax").cast("decimal(4,2)")
@@ -88,6 +95,7 @@ def stacked_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "summary_by_period": summary_by_period,
+    "summary_fine_amounts": summary_fine_amounts,
     "net_amount": net_amounts,
     "topk_net": topk_net,
     "topk_orders": topk_orders,
@@ -107,11 +115,7 @@ _NET = """
 
 
 def _total(expression: str, suffix: str) -> str:
-    money = f"CAST({expression} AS DECIMAL(18, 4))"
-    return (
-        f"CAST(round(sum({money}), 2) AS DOUBLE) AS total_{suffix}, "
-        f"round(CAST(sum({money}) AS DOUBLE) / count({money}), 2) AS avg_{suffix}"
-    )
+    return f"round(sum({expression}), 2) AS total_{suffix}, round(avg({expression}), 2) AS avg_{suffix}"
 
 
 ORACLES = {
@@ -123,6 +127,11 @@ ORACLES = {
                count(*) AS num_bills
         FROM lineitem GROUP BY 1 ORDER BY 1 NULLS FIRST
     """,
+    "summary_fine_amounts": """
+        SELECT l_returnflag, round(sum(l_tax / 1000), 8) AS total_rate, round(avg(l_tax / 1000), 8) AS avg_rate,
+               round(sum(l_tax / 1e6), 8) AS total_fine, round(avg(l_tax / 1e6), 8) AS avg_fine, count(*) AS num_rows
+        FROM lineitem GROUP BY 1
+    """,
     "net_amount": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, period, net FROM ({_NET}) AS n",
     "topk_net": f"""
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, period, net FROM ({_NET}) AS n
