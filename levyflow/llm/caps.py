@@ -137,14 +137,16 @@ def cap_components(
     found = stored(_compared(coded, cosine, chunk), "cap_links")
     links = found.where("other is null").groupBy("uid").agg(F.sum("links").alias("links"))
     labels = connected_components(found.where("other is not null").select(F.col("uid").alias("a"), F.col("other").alias("b")))
-    own = coded.select("uid", "least", "n", "v").join(links, "uid", "left").join(
-        labels.withColumnRenamed("node", "uid"), "uid", "left")
-    reached = own.where("label is not null").groupBy("label").agg(F.min("least").alias("reached"))
-    groups = own.join(reached, "label", "left").select(
+    slim = coded.select("uid", "least").join(labels.withColumnRenamed("node", "uid"), "uid")
+    # Stored, so that the joins below are plain ones, whose large keys adaptive execution splits.
+    least = stored(slim.groupBy("label").agg(F.min("least").alias("reached")), "reached")
+    component = slim.join(least, "label").select("uid", "reached")
+    groups = coded.select("uid", "least", "n", "v").join(links, "uid", "left").join(component, "uid", "left").select(
         "v",
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         F.coalesce("reached", "least").alias("component_id"),
     )
+    groups = stored(groups, "cap_groups")
     linked = rows.where(able).join(groups, "v").select("key", "n_links", "component_id")
     alone = rows.where(~able).select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
     return linked.union(alone).select(

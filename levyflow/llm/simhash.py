@@ -137,9 +137,11 @@ def simhash_components(
     prints = stored(rows.groupBy("fp").agg(F.min("key").alias("least")), "prints")
     labels = connected_components(close_links(prints.select("fp"), max_bits, blocks, chunk))
     linked = prints.join(labels.withColumnRenamed("node", "fp"), "fp")
-    least = linked.groupBy("label").agg(F.min("least").alias("least"))
-    component = linked.select("fp", "label").join(least, "label").select("fp", F.col("least").alias("reached"))
+    # Stored, so that the joins below are plain ones, whose large keys adaptive execution splits.
+    least = stored(linked.groupBy("label").agg(F.min("least").alias("reached")), "reached")
+    component = linked.select("fp", "label").join(least, "label").select("fp", "reached")
     own = prints.join(component, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"))
+    own = stored(own, "components")
     return rows.join(own, "fp").select(F.col("key").alias(key), unsigned_hex("fp").alias("fingerprint"), "component_id")
 
 
