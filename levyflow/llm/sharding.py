@@ -119,7 +119,7 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     """Write ``docs`` as Parquet with a folder ``shard=.../page=...`` for each shard; returns the directory.
 
     Sizes come from keys and byte counts alone. The rows themselves are shuffled to their shard's
-    name and, once they have it, to its file.
+    name and, once they have it, to its file. ``docs`` may not have columns of these two names.
     """
     kept = F.struct(*[F.col(c) for c in docs.columns]).alias("kept")
     rows = docs.select(kept, hash_bits(F.col(key)).alias("hash"), row_bytes(F.col(text)).alias("bytes"))

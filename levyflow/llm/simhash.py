@@ -148,8 +148,8 @@ def simhash_components(
 def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose component has a row with a smaller key.
 
-    Rows with a null key and rows that repeat a key stay with, or go with, their own texts' components:
-    a row goes if its component id is smaller than its key.
+    Rows with a null key stay. Rows that repeat a key are one document: they all go if the text of any of
+    them is in a component with a smaller key, and else all stay.
     """
     groups = stored(simhash_components(docs, key, text), "groups")
     gone = groups.where(F.col("component_id") < F.col(key)).select(key).distinct()
