@@ -33,7 +33,9 @@ END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 # Words whose ids a Python worker remembers.
 KNOWN_WORDS = 500_000
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?]*)")
+# Latin letters between ASCII marks (but the apostrophe, which contractions begin with): three pre-tokens.
+_MARKS = r"""([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)"""
+_PLAIN = re.compile(f"{_MARKS}([A-Za-zÀ-ÖØ-öø-ÿ]*){_MARKS}")
 # White space for Python, symbols for the tokenizer.
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -47,8 +49,8 @@ def default_tokenizer() -> str:
 class WordIds:
     """Ids of whole texts as little-endian bytes, from a memory of the ids of words.
 
-    Holds for a vocabulary that drops white space and never merges over it. Words of Latin letters
-    go straight to the tokenizer's model; texts with special tokens go through the tokenizer whole.
+    Holds for a vocabulary that drops white space and never merges over it. Words of Latin letters and
+    marks go straight to the tokenizer's model; texts with special tokens go through the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -79,8 +81,8 @@ class WordIds:
         plain = _PLAIN.fullmatch(word)
         if not plain:
             return self._whole(word)
-        letters, marks = plain.groups()
-        return self._piece(letters.lower()) + self._piece(marks)
+        before, letters, after = plain.groups()
+        return self._piece(before) + self._piece(letters.lower()) + self._piece(after)
 
     def _piece(self, piece: str) -> bytes:
         if not piece:
