@@ -236,18 +236,18 @@ def _ranked(index: DataFrame, docs: DataFrame, block: QueryBlock, k: int, key: s
     heads = heads.withColumn("place", F.row_number().over(falling)).where(F.col("place") <= FIRST_DEPTH)
     scored = scratch.store(_rescored(docs, heads, shared, key, text), "scores-0")
     threshold = _threshold(scored, best, k, numbers)
-    rest = scratch.store(
-        index.mapInArrow(_looked_up(shared, threshold, None), _BOUNDS).distinct()
-        .withColumn("place", F.row_number().over(falling)), "bounds")
+    rest = scratch.store(index.mapInArrow(_looked_up(shared, threshold, None), _BOUNDS).distinct(), "bounds")
     done, depth = FIRST_DEPTH, FIRST_DEPTH * DEEPER
-    parts = [scored]
     while True:
         limit = spark.createDataFrame([(q, float(t)) for q, t in enumerate(threshold)], "query int, least double")
-        waiting = rest.where(F.col("place") > done).join(F.broadcast(limit), "query").where(F.col("bound") >= F.col("least"))
-        if not waiting.limit(1).count():
+        # Thresholds only rise, so a document keeps its place. The limit on places is one on both sides of
+        # the shuffle: a round sends no more than its depth from a task.
+        reach = rest.join(F.broadcast(limit), "query").where(F.col("bound") >= F.col("least"))
+        round_ = reach.withColumn("place", F.row_number().over(falling)).where(F.col("place") <= depth)
+        waiting = scratch.store(round_.where(F.col("place") > done).select("query", "doc", "hash"), f"round-{depth}")
+        if waiting.isEmpty():
             break
-        parts.append(scratch.store(_rescored(docs, waiting.where(F.col("place") <= depth), shared, key, text), f"scores-{done}"))
-        scored = scored.unionByName(parts[-1])
+        scored = scored.unionByName(scratch.store(_rescored(docs, waiting, shared, key, text), f"scores-{depth}"))
         threshold = _threshold(scored, best, k, numbers)
         done, depth = depth, depth * DEEPER
     items = spark.createDataFrame(list(enumerate(block.items.tolist())), "query int, item long")

@@ -123,7 +123,8 @@ def repeats(
     spark = docs.sparkSession
     scratch = Scratch(spark)
     every = fragments(docs, key, text, window, gram)
-    again = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Stored, so that the join is a plain one, whose large keys adaptive execution splits.
+    again = scratch.store(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     shared = scratch.store(every.join(again, "anchor"), "fragments")
 
     # The earliest of equal fragments stands for all of them in the index.
