@@ -30,6 +30,22 @@ def summary_fine_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(lines, ["l_returnflag"], {"rate": "rate", "fine": "fine"}, places=8)
 
 
+def summary_mixed_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts near 1e15 that cancel next to amounts near 1e-6, which doubles added in turn would lose."""
+    large, small = F.col("l_orderkey") * float(2**40), F.col("l_quantity") / 2**20
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.explode(F.array(large, small, -large)).alias("amount"))
+    return summarize(lines, ["l_returnflag"], {"amount": "amount"}, places=9)
+
+
+def summary_average_once_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An average just below a half of the last place: it must not be rounded on the way."""
+    lines = table(spark, sf_dir, "lineitem")
+    first = lines.agg(F.min("l_orderkey")).first()[0]
+    amount = F.when(F.col("l_orderkey") == first, 1.0049).otherwise(1.005)
+    return summarize(lines.select(F.lit(1).alias("k"), amount.alias("amount")), ["k"], {"amount": "amount"})
+
+
 def _net_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     tax = price * F.col("l_tax").cast("decimal(4,2)")
@@ -96,6 +112,8 @@ def stacked_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "summary_by_period": summary_by_period,
     "summary_fine_amounts": summary_fine_amounts,
+    "summary_mixed_scale": summary_mixed_scale,
+    "summary_average_once_rounded": summary_average_once_rounded,
     "net_amount": net_amounts,
     "topk_net": topk_net,
     "topk_orders": topk_orders,
@@ -132,6 +150,16 @@ ORACLES = {
                round(sum(l_tax / 1e6), 8) AS total_fine, round(avg(l_tax / 1e6), 8) AS avg_fine, count(*) AS num_rows
         FROM lineitem GROUP BY 1
     """,
+    "summary_mixed_scale": """
+        SELECT l_returnflag, round(sum(l_quantity) / 1048576, 9) AS total_amount,
+               round(sum(l_quantity) / 1048576 / (3 * count(*)), 9) AS avg_amount, 3 * count(*) AS num_rows
+        FROM lineitem GROUP BY 1
+    """,
+    "summary_average_once_rounded": """
+        WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_orderkey = (SELECT min(l_orderkey) FROM lineitem)) AS odd FROM lineitem)
+        SELECT CAST(1 AS INT) AS k, round(CAST((10049 * odd + 10050 * (n - odd)) AS DOUBLE) / 10000, 2) AS total_amount,
+               CASE WHEN odd > 0 THEN 1.0 ELSE 1.01 END::DOUBLE AS avg_amount, n AS num_rows FROM n
+    """,
     "net_amount": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, period, net FROM ({_NET}) AS n",
     "topk_net": f"""
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, period, net FROM ({_NET}) AS n

@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -229,6 +234,78 @@ def test_training_goes_on_from_stored_weights(spark, tmp_path):
         assert a.theta.tolist() == b.theta.tolist() == c.theta.tolist() and a.history == tuple(map(tuple, b.history))
 
 
+def _fit(spark, rows, store=None, partitions=3, epochs=6, rate=0.2, loss=SvrLoss(2), **task):
+    blocks = pack_blocks(rows.repartition(partitions), ["x1", "x2"], "y")
+    try:
+        return descend(blocks, [Task("m", loss, epochs, rate, **task)], store, every=2)[0]
+    finally:
+        blocks.release()
+
+
+def test_weights_of_other_rows_or_settings_are_left_alone(spark, tmp_path):
+    store, df = str(tmp_path / "w"), line(spark, 600)
+    other = df.withColumn("y", -F.col("y"))
+    _fit(spark, df, store)
+    changed = [(other, {}), (df, {"rate": 0.1}), (df, {"loss": SvrLoss(2, epsilon=0.3)}), (df, {"seed": 7}), (df, {"theta": (0.1, 0.2, 0.3)}),
+               (df.limit(599), {}), (df.select("x1", F.col("y").alias("x2"), F.col("x2").alias("y")), {})]
+    for rows, settings in changed:
+        assert np.allclose(_fit(spark, rows, store, **settings).theta, _fit(spark, rows, **settings).theta, rtol=1e-12)
+
+
+def test_stored_weights_beyond_the_epochs_are_not_taken(spark, tmp_path):
+    store, df = str(tmp_path / "w"), line(spark, 600)
+    _fit(spark, df, store, epochs=6)
+    fewer = _fit(spark, df, store, epochs=3)
+    assert len(fewer.history) == 3 and np.allclose(fewer.theta, _fit(spark, df, epochs=3).theta, rtol=1e-12)
+
+
+def test_stored_weights_are_found_from_another_partitioning(spark, tmp_path):
+    store, df = str(tmp_path / "w"), line(spark, 600)
+    _fit(spark, df, store, epochs=4, partitions=2)
+    spoilt = spark.read.parquet(f"{store}/*").withColumn("losses", F.transform("losses", lambda v: v + 1))
+    spoilt.write.parquet(f"{store}/epoch-000099")
+    spoilt.unpersist()
+    found = _fit(spark, df.orderBy("x2"), store, epochs=5, partitions=7)
+    assert len(found.history) == 5 and found.history[4][1] < 1
+
+
+def test_a_lost_worker_changes_nothing(tmp_path):
+    """A task whose worker dies in the middle of an epoch runs again, with the same outcome."""
+    script = tmp_path / "lost.py"
+    script.write_text(f"""
+import os
+from dataclasses import dataclass
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from levyflow.models import SvrLoss, Task, descend, pack_blocks
+
+@dataclass(frozen=True)
+class Mortal(SvrLoss):
+    mark: str = ""
+
+    def sums(self, theta, x, y):
+        if self.mark and TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() == 0:
+            try:
+                os.mkdir(self.mark)
+            except FileExistsError:
+                pass
+            else:
+                os._exit(1)
+        return super().sums(theta, x, y)
+
+spark = SparkSession.builder.master("local[3,4]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.range(900, numPartitions=3).select((F.col("id") % 17 / 8).alias("x"), (F.col("id") % 17 / 4 - 1).alias("y"))
+blocks = pack_blocks(df, ["x"], "y")
+fits = [descend(blocks, [Task("m", Mortal(1, mark=m), 5, 0.2)])[0] for m in ("", {str(tmp_path / "died")!r})]
+assert os.path.isdir({str(tmp_path / "died")!r})
+assert fits[0].theta.tolist() == fits[1].theta.tolist() and fits[0].history == fits[1].history
+print("same")
+""")
+    done = subprocess.run([sys.executable, str(script)], cwd=Path(__file__).parents[1], capture_output=True, text=True, timeout=300,
+                          env=os.environ | {"PYTHONPATH": str(Path(__file__).parents[1])})
+    assert done.stdout.strip().endswith("same"), done.stderr[-3000:]
+
+
 def test_small_partitions_are_read_together_without_a_shuffle(spark):
     df = line(spark, 4000).repartition(40)
     cached = cache_spread(df, F.lit(1), 8)
