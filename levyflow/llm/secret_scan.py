@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from levyflow.llm.shared import ship_package, stored
+from levyflow.llm.shared import free_name, ship_package, stored
 
 # Kinds in their order, with their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "provider", "blob")
@@ -111,7 +111,7 @@ def find_secrets(
 
     A null text is empty and has no hits. A null repository or owner is one of its own. Rows that
     repeat a key are judged each on its own; their values still count once for each owner. An empty
-    table gives no rows. Other columns are not read.
+    table gives no rows. Texts of any length are read whole. Other columns are not read.
     """
     rows = stored(scan(docs, key, text, repo, owner), "scan")
     hits = rows.select("row", "repo", "owner", F.explode("hits").alias("hit"))
@@ -172,8 +172,11 @@ def mask_live(docs: DataFrame, key: str = "doc_id", text: str = "text", repo: st
     """``docs`` with every character of a live value replaced by ``*``; lengths and rows stay.
 
     Texts without a live value are joined to nothing and stay as they are. What is masked depends on
-    the text alone, so rows are matched by the digest of their text, and repeated rows are alike.
+    the text alone, so rows are matched by the digest of their text, and repeated rows are alike. Null and empty
+    texts stay, null keys and owners are as in ``find_secrets``, texts of any length are masked whole, an empty
+    table stays empty, and columns of any names are carried as they are.
     """
+    digest_name, spans_name = free_name(docs, "__digest"), free_name(docs, "__spans")
     live = F.filter("hits", lambda h: h["verdict"] == "live")
     spans = F.transform(live, lambda h: F.struct(h["value_start"].alias("start"), h["value_stop"].alias("stop")))
     masks = (
@@ -182,12 +185,12 @@ def mask_live(docs: DataFrame, key: str = "doc_id", text: str = "text", repo: st
         .where(F.size("spans") > 0)
         .dropDuplicates(["digest"])
     )
-    masks = stored(masks.select(F.col("digest").alias("__digest"), F.col("spans").alias("__spans")), "masks")
+    masks = stored(masks.select(F.col("digest").alias(digest_name), F.col("spans").alias(spans_name)), "masks")
     digest = F.unhex(F.sha2(F.col(text).cast("string"), 256))
-    joined = docs.withColumn("__digest", digest).join(masks, "__digest", "left")
+    joined = docs.withColumn(digest_name, digest).join(masks, digest_name, "left")
     # Keeps what lies between the spans; overlapping spans only move the point already reached.
     step = F.aggregate(
-        "__spans",
+        spans_name,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda s, h: F.struct(
             F.concat(
@@ -199,5 +202,5 @@ def mask_live(docs: DataFrame, key: str = "doc_id", text: str = "text", repo: st
         ),
         lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(text))),
     )
-    masked = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(step)
+    masked = F.when(F.col(spans_name).isNull(), F.col(text)).otherwise(step)
     return joined.withColumn(text, masked).select(*docs.columns)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from levyflow.llm.shared import stored
+from levyflow.llm.shared import free_name, stored
 
 # Production shards; the registered query uses smaller ones, see ``catalog``.
 LIMIT = 256 * 1024**2
@@ -118,16 +118,18 @@ def _paged(rows: DataFrame, limit: int) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
     """Write ``docs`` as Parquet with a folder ``shard=.../page=...`` for each shard; returns the directory.
 
-    Sizes come from keys and byte counts alone. The rows themselves are shuffled to their shard's
-    name and, once they have it, to its file. ``docs`` may not have columns of these two names.
+    Sizes come from keys and the bytes of the texts alone: wide other columns make files larger. The rows
+    themselves are shuffled to their shard's name and, once they have it, to its file. If ``docs`` has a column
+    ``shard`` or ``page``, the folders are named ``shard_`` or ``page_``, with as many underscores as it takes.
+    Odd rows go where ``assign`` puts them; an empty table writes no shard.
     """
+    shard, page = free_name(docs, "shard"), free_name(docs, "page")
     kept = F.struct(*[F.col(c) for c in docs.columns]).alias("kept")
     rows = docs.select(kept, hash_bits(F.col(key)).alias("hash"), row_bytes(F.col(text)).alias("bytes"))
     sized = stored(rows.select("hash", "bytes"), "sized")
     shards = stored(directory(sized, limit), "directory")
     named = _located(sized.select("hash").distinct(), shards)
     placed = _paged(rows.withColumn("row", F.monotonically_increasing_id()).join(named, "hash"), limit)
-    files = placed.select("kept.*", F.col("shard").alias("__shard"), F.col("page").alias("__page"))
-    files = files.withColumnsRenamed({"__shard": "shard", "__page": "page"})
-    files.repartition("shard", "page").write.mode("overwrite").partitionBy("shard", "page").parquet(path)
+    files = placed.select("kept.*", F.col("shard").alias(shard), F.col("page").alias(page))
+    files.repartition(shard, page).write.mode("overwrite").partitionBy(shard, page).parquet(path)
     return shards

@@ -131,7 +131,7 @@ def simhash_components(
     shorter texts than a shingle are one shingle. Rows with a null key have a fingerprint and link
     others, but never name a component; a component of such rows alone has a null id. Rows that
     repeat a key are linked by their own texts, each with its own result. An empty table gives no
-    rows. Other columns of ``docs`` are not read.
+    rows. Texts of any length are read whole. Other columns of ``docs`` are not read.
     """
     rows = stored(fingerprints(docs, key, text), "fingerprints")
     prints = stored(rows.groupBy("fp").agg(F.min("key").alias("least")), "prints")
@@ -149,8 +149,9 @@ def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """``docs`` without the rows whose component has a row with a smaller key.
 
     Rows with a null key stay. Rows that repeat a key are one document: they all go if the text of any of
-    them is in a component with a smaller key, and else all stay.
+    them is in a component with a smaller key, and else all stay. Null and empty texts are near copies of each
+    other, and an empty table stays empty. Columns and their order stay, whatever their names.
     """
     groups = stored(simhash_components(docs, key, text), "groups")
     gone = groups.where(F.col("component_id") < F.col(key)).select(key).distinct()
-    return docs.join(gone, key, "left_anti")
+    return docs.join(gone, key, "left_anti").select(*docs.columns)

@@ -7,6 +7,7 @@ noisy-or, and afterwards name the sentences at fault.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,12 +24,13 @@ from levyflow.llm.shared import ship_package, stored
 SAMPLE = 4000
 # Word features with weights, the most telling ones of the sample.
 FEATURES = 4096
-# Standard deviations by which a feature must be more frequent in toxic documents than in others,
-# and documents that it must be in.
+# Standard deviations by which a feature must be more or less frequent in toxic documents than in others,
+# and documents of the sample that it must be in.
 TELLING, LEAST_DOCS = 4.0, 3
 THRESHOLD = 0.7
 SENTENCE_THRESHOLD = 0.5
-STEPS, RATE, RIDGE = 400, 0.1, 1e-3
+# Few steps: held-out documents are caught best before the weights have settled.
+STEPS, RATE, RIDGE = 100, 0.1, 1e-3
 KNOWN_WORDS = 500_000
 _HASH = (1 << 22) - 1
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -56,7 +58,7 @@ def sentences(text: str) -> Iterator[tuple[int, int, list[str]]]:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights by hashed feature, at most ``FEATURES`` of them, and the score of an empty sentence."""
+    """Weights by hashed feature, of either sign, and the weight of a sentence without any of them."""
 
     weights: dict[int, float]
     bias: float
@@ -77,16 +79,18 @@ class _Scorer:
         if len(known) > KNOWN_WORDS:
             known.clear()
         for start, end, words in sentences(text):
-            weight = 0.0
+            # A feature counts once a sentence, as in training.
+            found: set[int] = set()
             for w in words:
                 got = known.get(w)
                 if got is None:
-                    got = known[w] = sum(self.model.weights.get(f, 0.0) for f in word_features(w))
-                weight += got
-            if weight == 0.0:
+                    got = known[w] = tuple(f for f in word_features(w) if f in self.model.weights)
+                if got:
+                    found.update(got)
+            if not found:
                 total += self.plain
                 continue
-            z = self.model.bias + weight
+            z = self.model.bias + math.fsum(self.model.weights[f] for f in found)
             total += float(np.logaddexp(0, z))
             if z >= 0:  # SENTENCE_THRESHOLD
                 faults.append((start, end, 1 / (1 + float(np.exp(-z)))))
@@ -95,9 +99,13 @@ class _Scorer:
 
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE,
+    features: int = FEATURES, least_docs: int = LEAST_DOCS,
 ) -> ToxicityModel:
     """Fit on at most ``sample`` documents of each class; classes keep their weight in ``labels``.
 
+    The model has weights for the ``features`` most telling features that ``least_docs`` or more documents of the
+    sample hold. Null and empty texts are documents without a sentence.
+
     Labels other than 0 and 1, null labels and keys without a document teach nothing. A document with
     several labels has the largest. With no labelled documents the model scores everything 0.
     """
@@ -116,24 +124,24 @@ def train(
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     schema = "key long, y int, feature array<int>, sentence array<int>"
     held = stored(texts.join(F.broadcast(chosen), "key").mapInArrow(_instances, schema), "toxicity_sample")
-    telling = _telling(held)
+    telling = _telling(held, features, least_docs)
     if not len(telling):
         return ToxicityModel({}, -30.0)
     return _fit(held.mapInArrow(lambda batches: _only(batches, telling), schema).toArrow().sort_by("key"), telling, sizes)
 
 
-def _telling(held: DataFrame) -> np.ndarray:
-    """The features that are clearly more frequent in toxic documents, at most ``FEATURES``."""
+def _telling(held: DataFrame, features: int, least_docs: int) -> np.ndarray:
+    """The features that are clearly more or less frequent in toxic documents, the most telling ones."""
     share = held.agg(F.avg("y")).first()[0] or 0.0
     spread = F.sqrt(F.col("n") * F.lit(share * (1 - share)))
     counts = (
         held.select("y", F.explode(F.array_distinct("feature")).alias("feature")).where("feature >= 0")
         .groupBy("feature").agg(F.count("*").alias("n"), F.sum("y").alias("toxic"))
-        .where(F.col("n") >= LEAST_DOCS)
+        .where(F.col("n") >= least_docs)
         .withColumn("telling", (F.col("toxic") - F.col("n") * share) / F.greatest(spread, F.lit(1e-9)))
-        .where(F.col("telling") >= TELLING)
+        .where(F.abs("telling") >= TELLING)
     )
-    top = counts.orderBy(F.desc("telling"), "feature").limit(FEATURES)
+    top = counts.orderBy(F.desc(F.abs("telling")), "feature").limit(features)
     return np.array(sorted(r["feature"] for r in top.collect()), dtype=np.int32)
 
 
@@ -175,37 +183,54 @@ def _instances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["key", "y", "feature", "sentence"])
 
 
-def _fit(table: pa.Table, telling: np.ndarray, sizes: dict[int, int]) -> ToxicityModel:
-    y = table.column("y").to_numpy()
-    lists = table.column("feature").combine_chunks()
-    doc = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
-    column = lists.values.to_numpy()
-    sentence = table.column("sentence").combine_chunks().values.to_numpy()
-    last = column < 0
-    count = np.zeros(len(y))
-    count[doc[last]] = sentence[last]
-    doc, column, sentence = doc[~last], column[~last], sentence[~last]
-    instance, inverse = np.unique(doc * (1 << 32) + sentence, return_inverse=True)
-    owner = instance >> 32
-    plain = count - np.bincount(owner, minlength=len(y))
-    per_class = np.array([max(1, (y == c).sum()) for c in (0, 1)])
-    weight = np.array([sizes.get(c, 0) for c in (0, 1)]) / per_class
-    weight = (weight / weight[y].sum())[y]
-
-    def loss_gradient(theta: np.ndarray) -> np.ndarray:
+class _Loss:
+    """Weighted cross-entropy of the noisy-or, over the sample's features by sentence."""
+
+    def __init__(self, table: pa.Table, width: int, sizes: dict[int, int]):
+        self.y, self.width = table.column("y").to_numpy(), width
+        lists = table.column("feature").combine_chunks()
+        doc = np.repeat(np.arange(len(self.y)), np.diff(lists.offsets.to_numpy()))
+        column = lists.values.to_numpy()
+        sentence = table.column("sentence").combine_chunks().values.to_numpy()
+        last = column < 0
+        count = np.zeros(len(self.y))
+        count[doc[last]] = sentence[last]
+        doc, self.column, sentence = doc[~last], column[~last], sentence[~last]
+        instance, self.inverse = np.unique(doc * (1 << 32) + sentence, return_inverse=True)
+        self.owner = instance >> 32
+        self.plain = count - np.bincount(self.owner, minlength=len(self.y))
+        per_class = np.array([max(1, (self.y == c).sum()) for c in (0, 1)])
+        weight = np.array([sizes.get(c, 0) for c in (0, 1)]) / per_class
+        self.weight = (weight / weight[self.y].sum())[self.y]
+
+    def totals(self, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The logit of each sentence with a feature, and minus the logarithm of each document's chance to be clean."""
+        w, bias = theta[:-1], theta[-1]
+        z = bias + np.bincount(self.inverse, weights=w[self.column], minlength=len(self.owner))
+        total = np.bincount(self.owner, weights=np.logaddexp(0, z), minlength=len(self.y)) + self.plain * np.logaddexp(0, bias)
+        return z, total
+
+    def value(self, theta: np.ndarray) -> float:
+        _, total = self.totals(theta)
+        miss = np.where(self.y == 1, -np.log(-np.expm1(-np.clip(total, 1e-9, 700))), total)
+        return float((self.weight * miss).sum() + RIDGE / 2 * (theta[:-1] ** 2).sum() / self.width)
+
+    def gradient(self, theta: np.ndarray) -> np.ndarray:
         w, bias = theta[:-1], theta[-1]
-        z = bias + np.bincount(inverse, weights=w[column], minlength=len(instance))
-        total = np.bincount(owner, weights=np.logaddexp(0, z), minlength=len(y)) + plain * np.logaddexp(0, bias)
+        z, total = self.totals(theta)
         # d loss / d total: 1 for a clean document, -(1-p)/p for a toxic one.
-        pull = weight * np.where(y == 1, -1 / np.expm1(np.clip(total, 1e-9, 700)), 1.0)
-        slope = pull[owner] / (1 + np.exp(-z))
-        grad = np.bincount(column, weights=slope[inverse], minlength=len(w)) + RIDGE * w / len(w)
-        return np.append(grad, slope.sum() + (pull * plain).sum() / (1 + np.exp(-bias)))
+        pull = self.weight * np.where(self.y == 1, -1 / np.expm1(np.clip(total, 1e-9, 700)), 1.0)
+        slope = pull[self.owner] / (1 + np.exp(-z))
+        grad = np.bincount(self.column, weights=slope[self.inverse], minlength=len(w)) + RIDGE * w / len(w)
+        return np.append(grad, slope.sum() + (pull * self.plain).sum() / (1 + np.exp(-bias)))
 
+
+def _fit(table: pa.Table, telling: np.ndarray, sizes: dict[int, int]) -> ToxicityModel:
+    loss = _Loss(table, len(telling), sizes)
     theta = np.append(np.zeros(len(telling)), -6.0)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):  # Adam with its usual constants
-        g = loss_gradient(theta)
+        g = loss.gradient(theta)
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         theta -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return ToxicityModel({int(f): float(w) for f, w in zip(telling, theta)}, float(theta[-1]))
@@ -215,8 +240,8 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str
     """``key, score, predicted, sentences`` for every row; ``sentences`` lists ``start, stop, score`` of
     those that are toxic by themselves, in code points.
 
-    Null and empty texts have no sentence and score 0. Rows with a null key or a repeated one are
-    scored each on its own; an empty table gives no rows. Other columns are not read.
+    Null and empty texts have no sentence and score 0; texts of any length are read whole. Rows with a null key
+    or a repeated one are scored each on its own; an empty table gives no rows. Other columns are not read.
     """
     ship_package(docs.sparkSession)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("score", pa.float64())]))
@@ -236,7 +261,11 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more. Nothing is shuffled."""
+    """``docs`` without the rows that score ``threshold`` or more. Nothing is shuffled.
+
+    Columns and their order stay. Rows are judged by their text alone: repeated rows and null keys go or stay each on
+    its own, null and empty texts stay, texts of any length are read whole, and an empty table stays empty.
+    """
     ship_package(docs.sparkSession)
     at = docs.columns.index(text)
 

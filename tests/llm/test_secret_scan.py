@@ -84,3 +84,9 @@ def test_masking_keeps_rows_and_columns(spark):
 def test_no_rows(spark):
     assert span_report(find_secrets(no_documents(spark))).count() == 0
     assert mask_live(no_documents(spark)).count() == 0
+
+
+def test_columns_of_any_name_are_carried(spark):
+    rows = [(1, f"token={KEY}", "a", "b", 1), (2, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __digest string, __spans string, source long")
+    assert [tuple(r) for r in mask_live(docs).orderBy("doc_id").collect()] == [(1, f"token={'*' * len(KEY)}", "a", "b", 1), rows[1]]

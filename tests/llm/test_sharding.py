@@ -58,3 +58,11 @@ def test_written_shards_hold_all_rows(spark, tmp_path):
 
 def test_no_rows(spark, tmp_path):
     assert assign(no_documents(spark)).count() == 0
+
+
+def test_columns_named_like_the_folders(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"t{i}", f"s{i}", i) for i in range(9)], "doc_id long, text string, shard string, page int")
+    write_shards(docs, f"{tmp_path}/shards", limit=4)
+    back = spark.read.parquet(f"{tmp_path}/shards")
+    assert sorted(back.select(*docs.columns).collect()) == sorted(docs.collect())
+    assert {"shard_", "page_"} <= set(back.columns) and back.select("shard_").distinct().count() > 1

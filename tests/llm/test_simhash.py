@@ -64,3 +64,9 @@ def test_one_document_of_each_group_stays(spark):
 def test_no_rows(spark):
     assert simhash_components(no_documents(spark)).count() == 0
     assert first_of_groups(no_documents(spark)).count() == 0
+
+
+def test_key_stays_in_its_place(spark):
+    docs = spark.createDataFrame([("a b c", 2, 1), ("a b c", 1, 2), (None, None, 3)], "text string, doc_id long, component_id int")
+    kept = first_of_groups(docs)
+    assert kept.columns == docs.columns and sorted(map(repr, map(tuple, kept.collect()))) == [repr(("a b c", 1, 2)), repr((None, None, 3))]

@@ -1,5 +1,7 @@
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from levyflow.llm import toxicity
@@ -64,3 +66,47 @@ def test_held_out_accuracy(spark):
     caught = sum(r.predicted for r in held if r.toxic) / sum(r.toxic for r in held)
     blamed = sum(r.predicted for r in held if not r.toxic) / sum(not r.toxic for r in held)
     assert caught > 0.85 and blamed < 0.01
+
+
+def sample(seed, docs=12, width=5):
+    """Documents of some sentences with some of ``width`` features, as training has them."""
+    rng, rows = np.random.default_rng(seed), []
+    for i in range(docs):
+        feature, sentence = [], []
+        count = int(rng.integers(1, 5))
+        for n in range(1, count + 1):
+            own = sorted(rng.choice(width, rng.integers(0, width), replace=False).tolist())
+            feature += own
+            sentence += [n] * len(own)
+        rows.append((i, i % 2, [*feature, -1], [*sentence, count]))
+    kind = pa.list_(pa.int32())
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), kind, kind))], ["key", "y", "feature", "sentence"])
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_gradient_is_that_of_the_loss(seed):
+    loss = toxicity._Loss(sample(seed), 5, {0: 70, 1: 6})
+    theta = np.random.default_rng(seed).normal(0, 1, 6)
+    unit = np.eye(6) * 1e-6
+    numeric = [(loss.value(theta + u) - loss.value(theta - u)) / 2e-6 for u in unit]
+    assert np.allclose(loss.gradient(theta), numeric, atol=1e-6)
+
+
+def test_documents_score_as_in_training(spark):
+    """What ``_fit`` minimises is the score that documents get, repeated words, stems and signs included."""
+    texts = ["gromb gromb gromb grombing of stone. grombly!", "the river. stone stone gromb", "", "kind kindly kind words? stone", "gromb"]
+    texts += [f"{prose(20, n)} calmly" for n in range(30)] + [f"{prose(9, n)} gromb grombs {prose(3, n)} kind" for n in range(30)]
+    docs = spark.createDataFrame([(i, t, int("gromb" in t)) for i, t in enumerate(texts)], "doc_id long, text string, toxic int")
+    schema = "key long, y int, feature array<int>, sentence array<int>"
+    held = docs.selectExpr("doc_id key", "text", "toxic y").repartition(3).mapInArrow(toxicity._instances, schema).cache()
+    telling = toxicity._telling(held, 4096, 1)
+    table = held.mapInArrow(lambda batches: toxicity._only(batches, telling), schema).toArrow().sort_by("key")
+    model = toxicity._fit(table, telling, {0: 32, 1: 33})
+    assert min(model.weights.values()) < 0 < max(model.weights.values())
+    theta = np.array([*[model.weights[int(f)] for f in telling], model.bias])
+    _, total = toxicity._Loss(table, len(telling), {0: 32, 1: 33}).totals(theta)
+    assert np.allclose([model.scorer()(t)[0] for t in texts], -np.expm1(-total), atol=1e-12)
+
+
+def test_filter_of_no_rows(spark, taught):
+    assert toxicity.drop_toxic(no_documents(spark), taught[1]).count() == 0
