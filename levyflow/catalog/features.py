@@ -70,6 +70,14 @@ def feature_scaler_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
+def moments_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means and deviations from exact sums, of features and of a column that is large and hardly moves."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("steep", F.col("l_linenumber") + float(2**40))
+    stats = feature_stats(lines, [*FEATURES, "steep"], exact=True)
+    label = label_stats(lines, "l_extendedprice", exact=True).select(F.lit("label").alias("feature"), "mean", "std")
+    return stats.unionByName(label).select("feature", F.round("mean", 8).alias("mean"), F.round("std", 8).alias("std"))
+
+
 def features_standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Includes a column without spread, which becomes 0."""
     lines = table(spark, sf_dir, "lineitem").select(*KEYS, *FEATURES, F.lit(7.0).alias("flat"))
@@ -127,6 +135,7 @@ QUERIES = {
     "dropna_features": dropna_features,
     "dropna_counts": dropna_counts,
     "feature_scaler_stats": feature_scaler_stats,
+    "moments_exact": moments_exact,
     "features_standardized": features_standardized,
     "label_scaler": label_scaler,
     "label_scaled": label_scaled,
@@ -174,6 +183,12 @@ ORACLES = {
                count(*) - count(*) FILTER (WHERE {_VALID}) AS dropped
         FROM ({_GAPS}) AS g
     """,
+    "moments_exact": " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg({c}), 8) AS mean, round(stddev_samp({c}), 8) AS std FROM lineitem" for c in FEATURES
+    ) + """
+        UNION ALL SELECT 'steep', round(avg(l_linenumber) + 1099511627776.0::DOUBLE, 8), round(stddev_samp(l_linenumber), 8) FROM lineitem
+        UNION ALL SELECT 'label', round(avg(l_extendedprice), 8), round(stddev_pop(l_extendedprice), 8) FROM lineitem
+    """,
     "feature_scaler_stats": " UNION ALL ".join(
         f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std FROM lineitem"
         for c in FEATURES

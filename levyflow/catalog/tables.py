@@ -10,7 +10,7 @@ from levyflow.functions.numbers import clean_number, malformed, to_integer
 from levyflow.operators.metrics import regression_metrics
 from levyflow.operators.ranking import dedupe_by, latest_by
 from levyflow.operators.summaries import row_counts
-from levyflow.sources.readers import read_delimited, read_table
+from levyflow.sources.readers import read_delimited, read_rejects, read_table
 from levyflow.sources.scratch import scratch_path
 from levyflow.sources.writers import write_metrics, write_table
 
@@ -50,6 +50,28 @@ def clean_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Lines of text with what can be wrong about them, in the SQL that both engines share.
+_ROUGH_LINES = """
+SELECT CASE l_linenumber
+         WHEN 5 THEN concat_ws(';', CAST(l_orderkey AS STRING), 'cut')
+         WHEN 6 THEN concat_ws(';', CAST(l_orderkey AS STRING), l_returnflag, CAST(CAST(l_quantity AS INT) AS STRING), '5', 'more')
+         ELSE concat_ws(';', CAST(l_orderkey AS STRING), l_returnflag,
+                        CASE l_linenumber WHEN 4 THEN '' WHEN 7 THEN '12x4' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END,
+                        CASE WHEN l_linenumber IN (3, 7) THEN 'today' ELSE CAST(l_partkey AS STRING) END) END AS line
+FROM lineitem
+"""
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut short, lines too long, and fields that are no numbers."""
+    path, names = scratch_path(spark, "rough"), ["orderkey", "flag", "amount", "day"]
+    lines = spark.sql(_ROUGH_LINES.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
+    # One column, whose name is the header line; nothing is quoted, as the separator does not occur.
+    lines.toDF(";".join(names)).write.mode("overwrite").option("header", True).option("sep", "\x01").csv(path)
+    rejects = read_rejects(spark, path, names, numbers=["amount"], integers=["day"])
+    return rejects.groupBy("line", "column", "reason").agg(F.count("*").alias("num"), F.bool_and(F.contains("file", F.lit(path.rsplit("/", 1)[-1]))).alias("named"))
+
+
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json")
     orders = table(spark, sf_dir, "orders").select(
@@ -104,6 +126,7 @@ def etl_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "csv_scan_clean": csv_scan_clean,
     "clean_reject_counts": clean_reject_counts,
+    "csv_rejects": csv_rejects,
     "json_roundtrip": json_roundtrip,
     "metrics_roundtrip": metrics_roundtrip,
     "dim_latest": dim_latest,
@@ -124,6 +147,14 @@ ORACLES = {
                count(*) FILTER (WHERE l_linenumber = 1) AS num_rejected
         FROM lineitem GROUP BY l_returnflag
     """,
+    "csv_rejects": f"""
+        WITH lines AS ({_ROUGH_LINES}), fields AS (SELECT line, string_split(line, ';') AS f FROM lines),
+        found AS (
+            SELECT line, NULL::VARCHAR AS "column", 'fields' AS reason FROM fields WHERE len(f) <> 4
+            UNION ALL SELECT line, 'amount', 'number' FROM fields WHERE len(f) = 4 AND f[3] <> '' AND try_cast(f[3] AS DOUBLE) IS NULL
+            UNION ALL SELECT line, 'day', 'integer' FROM fields WHERE len(f) = 4 AND try_cast(f[4] AS INT) IS NULL)
+        SELECT line, "column", reason, count(*) AS num, true AS named FROM found GROUP BY ALL
+    """,
     "json_roundtrip": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS o_orderday, o_orderpriority

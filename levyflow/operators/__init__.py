@@ -9,6 +9,7 @@ from levyflow.operators.features import (
     invalid_counts,
     label_frequencies,
     label_stats,
+    moments,
     standardize,
     vector_columns,
     without,
@@ -41,6 +42,7 @@ __all__ = [
     "label_stats",
     "latest_by",
     "majority_metrics",
+    "moments",
     "random_split",
     "regression_metrics",
     "row_counts",

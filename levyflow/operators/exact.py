@@ -1,7 +1,7 @@
 """Sums of doubles that are exact until they are rounded once, whatever the order and the partitions.
 
 Every value is an integer times a power of two. The powers are taken in steps of ``STEP`` binary digits, the
-bins; within its bin a value is an integer of two halves that decimals add without loss. The few bins of a
+bins; within its bin a value is a long, whose three limbs are added as longs without loss. The few bins of a
 group are put together as one whole number at the end, and sum and average are rounded from that.
 """
 
@@ -15,33 +15,42 @@ from pyspark.sql import functions as F
 
 from levyflow.shipping import ship_package
 
-STEP, HALF = 32, 42
+# A value is below 2**62 in its bin. Limbs of 21 digits leave room for 2**42 rows of a group in a bin.
+STEP, LIMB = 8, 21
+LIMBS = ("high", "middle", "low")
 # Digits of a double behind its first.
 _DIGITS = 52
-# Fourteen digits of a half leave room for 10 ** 13 rows of a group.
-_PART = "decimal(18,0)"
+# Bins of all doubles, from the smallest one's.
+_FIRST, _LAST = -1076 // STEP, 1024 // STEP
 
 
-def _times_power_of_two(value: Column, power: Column) -> Column:
-    """In two steps, as the power itself can be beyond the doubles."""
-    first = F.floor(power / 2)
-    return value * F.pow(F.lit(2.0), first) * F.pow(F.lit(2.0), power - first)
+def _scales(half: int) -> Column:
+    """By bin, one of two powers of two that together bring it to whole numbers; the product can be beyond doubles."""
+    powers = [_DIGITS - STEP * b for b in range(_FIRST, _LAST + 1)]
+    # One literal in SQL: a column for each number would be a call to the JVM for each.
+    return F.expr(f"array({', '.join(f'{2.0 ** (p // 2 if half else p - p // 2)!r}D' for p in powers)})")
 
 
-def binned(value: Column) -> dict[str, Column]:
-    """``bin, high, low`` of a finite double: it is ``(high * 2**HALF + low) * 2**(STEP * bin - 52)``."""
+def bin_of(value: Column) -> Column:
     # One less than the binary exponent: the logarithm may be a hair too large.
-    exponent = F.floor(F.log2(F.abs(value))) - 1
-    number = F.when(value == 0, 0).otherwise(F.floor(exponent / STEP)).cast("int")
-    whole = F.when(value == 0, 0.0).otherwise(_times_power_of_two(value, F.lit(_DIGITS) - STEP * number))
-    high = F.floor(whole / float(1 << HALF))
-    return {"bin": number, "high": high.cast(_PART), "low": (whole - high * float(1 << HALF)).cast("long").cast(_PART)}
+    return F.when(value == 0, 0).otherwise(F.floor((F.floor(F.log2(F.abs(value))) - 1) / STEP)).cast("int")
 
 
-def ratio(bins: Sequence[tuple[int, int, int]]) -> tuple[int, int]:
-    """The exact sum of some bins, as numerator and denominator."""
-    least = min(b for b, _, _ in bins)
-    total = sum(((int(high) << HALF) + int(low)) << STEP * (b - least) for b, high, low in bins)
+def in_bin(value: Column, number: Column) -> Column:
+    """The value of a bin as a long: it is that times ``2**(STEP * number - 52)``."""
+    place = number - _FIRST
+    return (value * F.get(_scales(0), place) * F.get(_scales(1), place)).cast("long")
+
+
+def limbs(whole: Column) -> dict[str, Column]:
+    mask = F.lit((1 << LIMB) - 1)
+    return {"high": F.shiftright(whole, 2 * LIMB), "middle": F.shiftright(whole, LIMB).bitwiseAND(mask), "low": whole.bitwiseAND(mask)}
+
+
+def ratio(bins: Sequence[tuple[int, int, int, int]]) -> tuple[int, int]:
+    """The exact sum of some bins, given as number and sums of limbs, as numerator and denominator."""
+    least = min(b[0] for b in bins)
+    total = sum((((high << LIMB) + middle << LIMB) + low) << STEP * (b - least) for b, high, middle, low in bins)
     power = STEP * least - _DIGITS
     return (total << power, 1) if power >= 0 else (total, 1 << -power)
 
@@ -59,7 +68,8 @@ def exact_sums(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Data
 
     Totals and averages are the exact ones of the doubles, rounded once to a double; null where a group has no
     value. An infinity or NaN in a group gives what adding it gives. A task sends one row for each group, column
-    and bin, of which there are 66, into the first shuffle, and a group has one row behind the second.
+    and bin, of which there are 264, into the first shuffle, and a group has one row behind the second. More than
+    2**42 rows of a group in a bin are an error.
     """
     ship_package(df.sparkSession)
     by = list(by)
@@ -68,15 +78,17 @@ def exact_sums(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Data
     entry.append(F.struct(F.lit(len(columns)).alias("__column"), F.lit(0.0).alias("__value")))
     long = df.select(*by, F.inline(F.array(*entry))).where(F.col("__value").isNotNull())
     finite = F.abs("__value") < float("inf")
-    parts = {n: F.when(finite, c) for n, c in binned(F.col("__value")).items()}
+    # One step after the other: what is used several times is computed once.
+    value, number, whole = F.col("__value"), F.col("__bin"), F.col("__whole")
     sums = (
-        long.select(*by, "__column", F.when(~finite | F.isnan("__value"), F.col("__value")).alias("__odd"),
-                    *[c.alias(f"__{n}") for n, c in parts.items()])
+        long.withColumn("__odd", F.when(~finite | F.isnan(value), value))
+        .withColumn("__value", F.when(F.col("__odd").isNull(), value))
+        .withColumn("__bin", bin_of(value))
+        .withColumn("__whole", in_bin(value, number))
         .groupBy(*by, "__column", "__bin")
-        .agg(F.sum("__high").cast("decimal(38,0)").alias("__high"), F.sum("__low").cast("decimal(38,0)").alias("__low"),
-             F.sum("__odd").alias("__odd"), F.count("*").alias("__n"))
+        .agg(*[F.try_sum(c).alias(f"__{n}") for n, c in limbs(whole).items()], F.sum("__odd").alias("__odd"), F.count("*").alias("__n"))
     )
-    lists = sums.groupBy(*by).agg(F.collect_list(F.struct("__column", "__bin", "__high", "__low", "__odd", "__n")).alias("__bins"))
+    lists = sums.groupBy(*by).agg(F.collect_list(F.struct("__column", "__bin", *[f"__{n}" for n in LIMBS], "__odd", "__n")).alias("__bins"))
     return lists.select(*by, _put_together(len(columns))("__bins").alias("__all")).select(
         *by, F.col("__all.rows").alias("rows"), F.col("__all.sums").alias("sums"))
 
@@ -105,5 +117,8 @@ def _sum_of(bins: list[dict]) -> dict:
     odd = [b["__odd"] for b in bins if b["__odd"] is not None]
     if odd:
         return {"total": sum(odd), "average": sum(odd), "values": values}
-    numerator, denominator = ratio([(b["__bin"], b["__high"], b["__low"]) for b in bins])
+    parts = [(b["__bin"], *[b[f"__{n}"] for n in LIMBS]) for b in bins]
+    if any(None in p for p in parts):
+        raise OverflowError("too many rows in a group for exact sums")
+    numerator, denominator = ratio(parts)
     return {"total": rounded(numerator, denominator), "average": rounded(numerator, denominator * values), "values": values}

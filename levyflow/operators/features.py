@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from levyflow.functions.scaling import scale
+from levyflow.operators.exact import exact_sums
 from levyflow.sources.scratch import scratch_path
 
 STD_FLOOR = 1e-6
@@ -29,12 +31,16 @@ def drop_invalid(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def invalid_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(rows, kept, dropped)`` for the same condition, in one pass."""
+def _valid(columns: Sequence[str]) -> Column:
     valid = F.lit(True)
     for c in columns:
         valid = valid & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    kept = F.count_if(valid)
+    return valid
+
+
+def invalid_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(rows, kept, dropped)`` for the same condition, in one pass."""
+    kept = F.count_if(_valid(columns))
     rows = F.count(F.lit(1))
     return df.agg(rows.alias("rows"), kept.alias("kept"), (rows - kept).alias("dropped"))
 
@@ -64,19 +70,48 @@ class Scaling:
     label: tuple[float, float] | None = None
 
 
+@dataclass(frozen=True)
+class Moments:
+    """Mean and sum of squared distances from it, of ``values`` values that are not null."""
+
+    mean: float | None
+    squares: float
+    values: int
+
+    @property
+    def sample_std(self) -> float | None:
+        return math.sqrt(self.squares / (self.values - 1)) if self.values > 1 else None
+
+    @property
+    def population_std(self) -> float | None:
+        return math.sqrt(self.squares / self.values) if self.values else None
+
+
+def moments(df: DataFrame, columns: Sequence[str]) -> dict[str, Moments]:
+    """From exact sums, so that they are the same to the last bit for every partitioning. Two passes: the
+    second adds squared distances from the means, which loses nothing to cancellation."""
+    names = list(dict.fromkeys(columns))
+    sums = exact_sums(df, [], names).first()["sums"]
+    distances = {c: F.col(c).cast("double") - F.lit(s["average"]) for c, s in zip(names, sums) if s["values"]}
+    away = df.select(*[(d * d).alias(c) for c, d in distances.items()])
+    squares = exact_sums(away, [], list(distances)).first()["sums"] if distances else []
+    totals = dict(zip(distances, [s["total"] for s in squares]))
+    return {c: Moments(s["average"], totals.get(c, 0.0), s["values"]) for c, s in zip(names, sums)}
+
+
 def fit_scaling(df: DataFrame, features: Sequence[str], label: str | None = None) -> Scaling:
-    """All statistics in a single aggregate; one row comes back to the driver."""
-    wanted: list[Column] = []
-    for i, c in enumerate(features):
-        wanted += [F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}")]
-    if label is not None:
-        wanted += [F.avg(label).alias("my"), F.stddev_pop(label).alias("sy")]
-    row = df.agg(*wanted).first()
-    if any(row[f"m{i}"] is None for i in range(len(features))) or (label and row["my"] is None):
+    """All statistics from ``moments``; two rows come back to the driver."""
+    found = moments(df, [*features, *([] if label is None else [label])])
+    if not found or any(m.mean is None for m in found.values()):
         raise ValueError("cannot fit a scaling on a table without rows")
     # One row alone has no sample deviation: treat it as a column without spread.
-    stats = {c: (row[f"m{i}"], row[f"s{i}"] or 0.0) for i, c in enumerate(features)}
-    return Scaling(stats, (row["my"], max(row["sy"], STD_FLOOR)) if label else None)
+    stats = {c: (found[c].mean, found[c].sample_std or 0.0) for c in features}
+    return Scaling(stats, (found[label].mean, _floored(found[label].population_std)) if label else None)
+
+
+def _floored(deviation: float | None) -> float:
+    """As ``greatest`` does it: NaN is above the floor, null below."""
+    return deviation if deviation is not None and not deviation <= STD_FLOOR else STD_FLOOR
 
 
 def standardize(df: DataFrame, scaling: Scaling, suffix: str = "") -> DataFrame:
@@ -86,8 +121,11 @@ def standardize(df: DataFrame, scaling: Scaling, suffix: str = "") -> DataFrame:
     )
 
 
-def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``(feature, mean, std)`` with the sample deviation."""
+def feature_stats(df: DataFrame, features: Sequence[str], exact: bool = False) -> DataFrame:
+    """``(feature, mean, std)`` with the sample deviation; from ``moments`` if ``exact``, else in one lazy pass."""
+    if exact:
+        rows = [(c, m.mean, m.sample_std) for c, m in moments(df, features).items()]
+        return df.sparkSession.createDataFrame(rows, "feature string, mean double, std double")
     wide = df.agg(
         *[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(c) for c in features]
     )
@@ -98,8 +136,11 @@ def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
-def label_stats(df: DataFrame, label: str) -> DataFrame:
-    """``(mean, std)`` of the label: population deviation, never below ``STD_FLOOR``."""
+def label_stats(df: DataFrame, label: str, exact: bool = False) -> DataFrame:
+    """``(mean, std)`` of the label: population deviation, never below ``STD_FLOOR``; ``exact`` as above."""
+    if exact:
+        own = moments(df, [label])[label]
+        return df.sparkSession.createDataFrame([(own.mean, _floored(own.population_std))], "mean double, std double")
     return df.agg(
         F.avg(label).alias("mean"),
         F.greatest(F.stddev_pop(label), F.lit(STD_FLOOR)).alias("std"),

@@ -54,10 +54,10 @@ def test_sums_are_rounded_once(spark, partitions):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.tuples(st.integers(-34, 31), st.integers(0, 2**43), st.integers(0, 2**42 - 1)), min_size=1, max_size=9))
+@given(st.lists(st.tuples(st.integers(-135, 128), st.integers(-(2**62), 2**62), st.integers(0, 2**62), st.integers(0, 2**62)), min_size=1, max_size=9))
 def test_bins_are_put_together_exactly(bins):
     numerator, denominator = ratio(bins)
-    want = sum((Fraction(h * 2**42 + low) * Fraction(2) ** (32 * b - 52) for b, h, low in bins), Fraction(0))
+    want = sum((Fraction(h * 2**42 + m * 2**21 + low) * Fraction(2) ** (8 * b - 52) for b, h, m, low in bins), Fraction(0))
     assert Fraction(numerator, denominator) == want
 
 
@@ -102,3 +102,23 @@ def test_any_doubles(values):
     df = session().createDataFrame([(1, v) for v in values], "g int, v double")
     [s] = exact_sums(df, ["g"], ["v"]).first()["sums"]
     assert (s["total"], s["average"]) == expected(values)
+
+
+def test_moments_are_the_same_for_every_partitioning(spark):
+    from levyflow.operators import feature_stats, fit_scaling, label_stats, moments
+
+    values = [1e9 + rng * 1e-3 for rng in range(1000)] + [0.1] * 500
+    random.Random(1).shuffle(values)
+    df = spark.createDataFrame([(v, -v, 7.0, None) for v in values], "a double, b double, flat double, gone double")
+    found = [moments(df.repartition(n), ["a", "b", "flat", "gone"]) for n in (1, 3, 200)]
+    assert found[0] == found[1] == found[2]
+    mean = float(sum(map(Fraction, values)) / len(values))
+    squares = float(sum((Fraction(v) - Fraction(mean)) ** 2 for v in values))
+    assert found[0]["a"].mean == mean == -found[0]["b"].mean
+    assert math.isclose(found[0]["a"].squares, squares, rel_tol=1e-15 * 4)
+    assert (found[0]["flat"].sample_std, found[0]["gone"].mean, found[0]["gone"].sample_std) == (0.0, None, None)
+    scaled = [fit_scaling(df.repartition(n), ["a", "flat"], "b") for n in (1, 7)]
+    assert scaled[0] == scaled[1] and scaled[0].label[0] == -mean
+    assert [tuple(r) for r in feature_stats(df, ["a"], exact=True).collect()] == [("a", mean, found[0]["a"].sample_std)]
+    assert tuple(label_stats(df.select("flat"), "flat", exact=True).first()) == (7.0, 1e-6)
+    assert tuple(label_stats(df, "gone", exact=True).first()) == tuple(label_stats(df, "gone").first()) == (None, 1e-6)

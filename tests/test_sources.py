@@ -6,6 +6,7 @@ from pyspark.sql import Row
 
 from levyflow.sources import (
     read_delimited,
+    read_rejects,
     read_table,
     scratch_path,
     write_loss_curve,
@@ -80,3 +81,25 @@ def test_scratch_is_below_the_named_folder_and_fresh(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert one != two and (root is None or one.startswith(root))
     assert Path(one).is_dir()
+
+
+def test_rejects_name_the_file_the_line_and_the_column(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id;amount;day\n1;1,257.60;007\n2;;"x;y"\n3\n4;5;6;7\n5;1.2.3;x\n')
+    (tmp_path / "b.csv").write_text("id;amount;day\n6;1e3;2025.7\n7;1,2;8\n")
+    columns = ["id", "amount", "day"]
+    got = read_rejects(spark, str(tmp_path), columns, numbers=["amount"], integers=["id", "day"])
+    assert got.columns == ["file", "line", "column", "reason"]
+    rows = sorted((Path(r.file).name, r.line, r.column or "", r.reason) for r in got.collect())
+    assert rows == [
+        ("a.csv", "2;;x;y", "day", "integer"), ("a.csv", "3", "", "fields"), ("a.csv", "4;5;6;7", "", "fields"),
+        ("a.csv", "5;1.2.3;x", "amount", "number"), ("a.csv", "5;1.2.3;x", "day", "integer"),
+    ]
+    strict = read_rejects(spark, str(tmp_path / "b.csv"), columns, numbers=["amount"], strict=True)
+    assert [(r.line, r.reason) for r in strict.collect()] == [("7;1,2;8", "number")]
+    with pytest.raises(Exception, match="header does not conform"):
+        read_rejects(spark, str(tmp_path), ["amount", "id", "day"]).collect()
+
+
+def test_no_rejects_in_clean_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id;amount\n1;5\n2;\n")
+    assert read_rejects(spark, str(tmp_path), ["id", "amount"], numbers=["amount"], integers=["id"]).collect() == []
