@@ -3,6 +3,9 @@ copies kept, live-looking secrets masked, the rest packed into sequences.
 
 ``STAGES`` are applied to ``documents`` in this order; each result is written as Parquet and
 read back as the next stage's input.
+
+All stages take nulls in any column, empty and very long texts, repeated rows and an empty table, and all but the
+last return the columns of ``documents`` in their order.
 """
 
 from __future__ import annotations
@@ -18,22 +21,26 @@ from levyflow.llm.toxicity import drop_toxic
 
 
 def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents that the classifier does not reject. Each row is judged by its own text; null and empty texts and
+    null ids stay."""
     return drop_toxic(docs, train_toxicity(spark, sf_dir))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies."""
+    """The document with the smallest id of every group of near copies. Null and empty texts are copies of each other;
+    rows with a null id stay, and rows that repeat an id go or stay together."""
     return first_of_groups(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with live-looking secrets masked."""
+    """All documents, with live-looking secrets masked. Repeated rows are masked alike; a null source is an owner of its
+    own, and null texts stay null."""
     return mask_live(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in the training sequences."""
+    """The place of every piece of every document in the training sequences. A null or empty text is one piece of
+    length 1, and repeated rows are packed each on its own."""
     return pack(docs)
 
 
