@@ -7,11 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from levyflow.catalog import classifiers, features, jobs, metrics, models, reports, tables
+from levyflow.catalog import classifiers, features, jobs, metrics, models, reports, resampled, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_PARTS = (tables, reports, features, metrics, models, classifiers, jobs)
+_PARTS = (tables, reports, features, metrics, models, classifiers, resampled, jobs)
 
 
 def queries() -> dict[str, Query]:

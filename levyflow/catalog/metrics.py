@@ -18,10 +18,10 @@ _REGRESSION_ROUNDED = ("rmse", "mse", "mae", "r2")
 _CLASS_ROUNDED = ("accuracy", "precision", "recall", "f1")
 
 
-def _regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _regression(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     price, discount, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
     return table(spark, sf_dir, "lineitem").select(
-        "l_returnflag",
+        *more, "l_returnflag",
         (price * (1 - discount) * (1 + tax) / 1000).alias("net"),
         (price * 0.99 / 1000).alias("linear"),
         (price * (1 - discount) / 1000).alias("untaxed"),
@@ -48,11 +48,11 @@ def regression_metrics_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.select("model", *[F.round(c, 6).alias(c) for c in _REGRESSION_ROUNDED])
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _classified(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """Three price classes, guessed from the quantity; class 2 is never guessed."""
     label = F.when(F.col("l_extendedprice") > 75000, 2).when(F.col("l_extendedprice") > 30000, 1).otherwise(0)
     guess = F.when(F.col("l_quantity") > 20, 1).otherwise(0)
-    return table(spark, sf_dir, "lineitem").select(label.alias("label"), guess.alias("prediction"))
+    return table(spark, sf_dir, "lineitem").select(*more, label.alias("label"), guess.alias("prediction"))
 
 
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:

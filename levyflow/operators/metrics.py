@@ -54,11 +54,13 @@ def confusion_table(df: DataFrame, label: str = "label", prediction: str = "pred
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def classification_metrics(confusion: DataFrame, model: str) -> DataFrame:
+def classification_metrics(confusion: DataFrame, model: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """``(model, accuracy, precision, recall, f1)``, the last three weighted by class size.
 
-    A class that is never predicted has precision 0.
+    A class that is never predicted has precision 0. With ``by``, one row per group and its columns first;
+    without a ``model`` the column of that name is left to ``by``.
     """
+    by = list(by)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("rows")).otherwise(0)
     zero = F.lit(0).cast("bigint")
     # Each cell counts once for its label and once for its prediction.
@@ -69,8 +71,8 @@ def classification_metrics(confusion: DataFrame, model: str) -> DataFrame:
                  zero.alias("hits")),
     )
     classes = (
-        confusion.select(F.inline(sides))
-        .groupBy("class")
+        confusion.select(*by, F.inline(sides))
+        .groupBy(*by, "class")
         .agg(*[F.sum(c).alias(c) for c in ("actual", "predicted", "hits")])
     )
     precision = F.coalesce(F.try_divide("hits", "predicted"), F.lit(0.0))
@@ -80,12 +82,14 @@ def classification_metrics(confusion: DataFrame, model: str) -> DataFrame:
     def weighted(value: Column) -> Column:
         return F.try_divide(F.sum(value * F.col("actual")), F.sum("actual"))
 
-    return classes.agg(
+    scores = classes.groupBy(*by).agg(
         F.try_divide(F.sum("hits"), F.sum("actual")).alias("accuracy"),
         weighted(precision).alias("precision"),
         weighted(recall).alias("recall"),
         weighted(f1).alias("f1"),
-    ).select(F.lit(model).alias("model"), "accuracy", "precision", "recall", "f1")
+    )
+    named = [] if model is None else [F.lit(model).alias("model")]
+    return scores.select(*by, *named, "accuracy", "precision", "recall", "f1")
 
 
 def majority_metrics(confusion: DataFrame, model: str = "MajorityClass") -> DataFrame:

@@ -1,0 +1,102 @@
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from levyflow.catalog.classifiers import _CLASS_FEATURES, KEYS, _priced
+from levyflow.models import fit_bagged_forest
+from levyflow.operators import classification_draws, draw_weight, intervals, regression_draws, resampled
+from levyflow.operators.resampling import poisson_limits
+from levyflow.plans.classification import FOREST_NAME, compare_classifiers
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_limits_are_the_poisson_distribution():
+    below = 0.0
+    for k, limit in enumerate(poisson_limits()):
+        below += math.exp(-1) / math.factorial(k)
+        assert abs(limit / 2**32 - below) < 1e-9
+
+
+def test_weights_are_poisson_and_differ_by_draw(spark):
+    rows = spark.range(40_000).select("id", *[draw_weight(["id"], d).alias(f"w{d}") for d in range(6)]).toPandas()
+    for d in range(6):
+        seen = Counter(rows[f"w{d}"])
+        for k in range(4):
+            assert abs(seen[k] / 40_000 - math.exp(-1) / math.factorial(k)) < 0.012
+    assert abs(rows[[f"w{d}" for d in range(6)]].corr().to_numpy() - [[i == j for i in range(6)] for j in range(6)]).max() < 0.03
+
+
+def test_resampled_rows_are_as_many_as_their_weights(spark):
+    rows = spark.range(300).repartition(3)
+    got = Counter((r["id"], r["draw"]) for r in resampled(rows, ["id"], 6).collect())
+    weights = rows.select("id", *[draw_weight(["id"], d).alias(f"w{d}") for d in range(6)]).collect()
+    assert got == Counter({(r["id"], d): r[f"w{d}"] for r in weights for d in range(6) if r[f"w{d}"]})
+
+
+def test_resampling_refuses_to_overwrite_a_column(spark):
+    with pytest.raises(ValueError, match="draw"):
+        resampled(spark.range(3).withColumn("draw", F.lit(1)), ["id"], 2)
+
+
+def test_null_keys_labels_and_predictions_and_no_rows(spark):
+    rows = spark.createDataFrame(
+        [(None, 1.0, 1.0, None), (1, 2.0, 2.5, 2.0), (1, 2.0, 2.5, 2.0), (2, None, 1.0, 1.0)], "k int, y double, a double, b double")
+    drawn = regression_draws(rows, {"a": "a", "b": "b"}, "y", ["k"], 16)
+    for r in drawn.where(F.col("mse").isNotNull()).collect():
+        assert (r["mse"] == 0.0) if r["model"] == "b" else (0.0 <= r["mse"] <= 0.25)
+    found = intervals(regression_draws(rows.limit(0), {"a": "a"}, "y", ["k"], 8), "a", ["mse"])
+    assert found.count() == 0
+    assert intervals(classification_draws(rows, {"a": "a"}, "y", ["k"], 8), "a", ["f1"]).first()["better"] is None
+
+
+def test_interval_of_a_mean_is_as_wide_as_theory_says(spark):
+    rows = spark.range(4000).select("id", F.randn(7).alias("y"), F.lit(0.0).alias("p"))
+    r = intervals(regression_draws(rows, {"p": "p"}, "y", ["id"], 200), "p", ["mse"]).first()
+    # The mean of squares of normals has deviation sqrt(2 / n).
+    assert abs((r["high"] - r["low"]) / (2 * 1.96 * math.sqrt(2 / 4000)) - 1) < 0.3
+    assert r["low"] < r["median"] < r["high"]
+
+
+def test_intervals_do_not_depend_on_partitioning(spark):
+    rows = spark.range(2000).select("id", (F.col("id") % 3).alias("y"), (F.col("id") % 2).alias("p"))
+    seen = {
+        tuple(tuple(r) for r in intervals(classification_draws(rows.repartition(n), {"p": "p"}, "y", ["id"], 12), "p", ["f1"]).collect())
+        for n in (1, 3, 8)
+    }
+    assert len(seen) == 1
+
+
+def test_the_same_forest_from_any_partitioning(spark):
+    rows = _priced(spark, SMALL).withColumn("label", (F.col("price_class") == "high").cast("double"))
+    rows = rows.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in (*_CLASS_FEATURES, "label") if c not in KEYS])
+    forests = [
+        fit_bagged_forest(rows.repartition(n), _CLASS_FEATURES, KEYS, trees=3, depth=4) for n in (1, 3, 8)
+    ]
+    assert len({f.edges for f in forests}) == 1
+    assert len({tuple(t.toDebugString.split("\n", 1)[1] for t in f.trees) for f in forests}) == 1
+    assert len({t.toDebugString.split("\n", 1)[1] for t in forests[0].trees}) == 3
+    scored = forests[0].transform(rows)
+    assert scored.where(F.col("prediction") == F.col("label")).count() > 0.8 * rows.count()
+
+
+def test_forest_with_gaps_constants_and_no_rows(spark):
+    rows = spark.range(200).select("id", (F.col("id") % 10).cast("double").alias("x"), F.lit(1.0).alias("c"),
+                                   F.when(F.col("id") % 10 > 4, 1.0).otherwise(0.0).alias("label"))
+    forest = fit_bagged_forest(rows, ["x", "c"], ["id"], trees=3, depth=2, subset="all")
+    assert forest.transform(rows).where("prediction <> label").count() == 0
+    gaps = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0), (2.0, None), (9.0, 5.0)], "x double, c double")
+    assert [r["prediction"] for r in forest.transform(gaps).collect()] == [None, None, None, 1.0]
+    with pytest.raises(ValueError, match="no rows"):
+        fit_bagged_forest(rows.limit(0), ["x"], ["id"])
+
+
+def test_comparison_takes_the_forest_by_key(spark):
+    settings = dict(trees=3, depth=3, models=[FOREST_NAME], bagging="key", with_baseline=True)
+    run = compare_classifiers(_priced(spark, SMALL), "price_class", _CLASS_FEATURES, KEYS, **settings)
+    accuracy = {r["model"]: r["accuracy"] for r in run.metrics.collect()}
+    assert accuracy[FOREST_NAME] > accuracy["MajorityClass"]
+    with pytest.raises(ValueError, match="bagging"):
+        compare_classifiers(_priced(spark, SMALL), "price_class", _CLASS_FEATURES, KEYS, bagging="rows")
