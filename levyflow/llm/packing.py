@@ -229,7 +229,8 @@ def pack(
         offset = table[at, 4] + within % each * lengths[at]
         return pd.DataFrame({"sequence_id": table[at, 3] + within // each, "offset": offset})
 
-    ranked = pieces.join(before, ["task", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
+    # A row for each task and length grows with the corpus: never broadcast, however small it looks in its files.
+    ranked = pieces.join(before.hint("merge"), ["task", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
     placed = ranked.withColumn("place", place("length", "rank"))
     return placed.select(
         F.col("key").alias(key), "piece", "start", "length", "ids_crc32", "place.sequence_id", "place.offset"
