@@ -2,6 +2,7 @@
 
 from levyflow.plans.classification import run_classification
 from levyflow.plans.etl import build_tables, load_fact, load_raw, run_etl
+from levyflow.plans.incremental import load_increment
 from levyflow.plans.regression import run_regression
 from levyflow.plans.reports import period_summary, run_reports, top_properties
 from levyflow.plans.run import run_all
@@ -9,6 +10,7 @@ from levyflow.plans.run import run_all
 __all__ = [
     "build_tables",
     "load_fact",
+    "load_increment",
     "load_raw",
     "period_summary",
     "run_all",
