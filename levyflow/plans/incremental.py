@@ -138,7 +138,7 @@ def load_increment(
         if not fresh:
             state = read_table(spark, state_path, _state_schema(config)).unionByName(
                 staged.select(*_state_schema(config).names))
-        with sized_shuffles(staged):
+        with sized_shuffles(fact):
             newest_first = [F.desc_nulls_last(config.cut_date)]
             write_table(dedupe_by(fact, config.fact_key, newest_first), merged_path)
             write_table(latest_state(state, config), f"{state_path}.ready")
