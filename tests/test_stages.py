@@ -1,0 +1,36 @@
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
+from levyflow.models.mlp import MlpLoss, mlp_predict
+from levyflow.models.stages import MlpStage, ScalerStage, SvrStage, load_stages, save_stages
+from levyflow.models.svr import svr_predict
+
+THETA = [0.4, -0.3, 0.2, 0.6, 0.1, -0.1, 0.7, -0.5, 0.02]
+
+
+def stages():
+    names = ["x_z", "y_z"]
+    return [
+        ScalerStage(inputCols=["x", "y"], means=[2.0, 5.0], deviations=[1.5, 0.0]),
+        SvrStage(inputCols=names, weights=[0.5, -0.2, 0.1], predictionCol="svr", labelMean=10.0, labelDeviation=4.0),
+        MlpStage(inputCols=names, weights=THETA, hidden=2, predictionCol="mlp", labelMean=10.0, labelDeviation=4.0),
+    ]
+
+
+def test_stored_stages_score_like_the_functions(spark, tmp_path):
+    rows = spark.createDataFrame([(1.0, 5.0), (None, 5.0), (float("nan"), 4.0), (3.5, 6.0)], "x double, y double")
+    path = str(tmp_path / "model")
+    save_stages(stages(), path)
+    save_stages(stages(), path)  # over an older one
+    got = load_stages(path).transform(rows)
+    names = ["x_z", "y_z"]
+    scaled = rows.withColumn("x_z", (F.col("x") - 2.0) / 1.5).withColumn("y_z", F.lit(0.0))
+    expected = scaled.withColumn("svr", svr_predict(names, [0.5, -0.2, 0.1]) * 4.0 + 10.0).withColumn(
+        "mlp", mlp_predict(MlpLoss(2, 2), names, THETA) * 4.0 + 10.0)
+    assert got.columns == expected.columns
+    assert [repr(tuple(r)) for r in got.collect()] == [repr(tuple(r)) for r in expected.collect()]
+
+
+def test_stages_fit_into_a_pipeline_and_empty_tables(spark):
+    empty = spark.createDataFrame([], "x double, y double")
+    assert Pipeline(stages=stages()).fit(empty).transform(empty).count() == 0
