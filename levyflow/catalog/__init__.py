@@ -7,11 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from levyflow.catalog import classifiers, features, jobs, loads, metrics, models, reports, resampled, tables
+from levyflow.catalog import classifiers, features, jobs, keyed, loads, metrics, models, reports, resampled, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_PARTS = (tables, reports, features, metrics, models, classifiers, resampled, jobs, loads)
+_PARTS = (tables, reports, features, metrics, models, classifiers, resampled, jobs, loads, keyed)
 
 
 def queries() -> dict[str, Query]:

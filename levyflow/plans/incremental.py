@@ -21,7 +21,7 @@ from levyflow.operators.ranking import dedupe_by
 from levyflow.plans.etl import COUNTS_SCHEMA, clean, dimension_schema, fact_schema
 from levyflow.sizing import sized_shuffles
 from levyflow.sources.readers import read_delimited, read_table
-from levyflow.sources.scratch import drop_path, scratch_path
+from levyflow.sources.scratch import drop_path, path_exists, scratch_path
 from levyflow.sources.writers import write_table
 
 MANIFEST_SCHEMA = "path string, length bigint, modified timestamp"
@@ -29,15 +29,10 @@ MANIFEST_SCHEMA = "path string, length bigint, modified timestamp"
 STATE, MANIFEST = "state", "manifest"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_manifest(spark: SparkSession, out: str) -> DataFrame:
     """``(path, length, modified)`` of the files that loads below ``out`` have read."""
     path = f"{out}/{MANIFEST}"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
@@ -84,7 +79,7 @@ def _replace(spark: SparkSession, ready: str, target: str) -> None:
 def _recover(spark: SparkSession, target: str) -> None:
     """Take over a finished folder whose place is still empty; one beside a full place is an older try."""
     ready = f"{target}.ready"
-    if _exists(spark, f"{ready}/_SUCCESS") and not _exists(spark, target):
+    if path_exists(spark, f"{ready}/_SUCCESS") and not path_exists(spark, target):
         _replace(spark, ready, target)
 
 
@@ -110,10 +105,10 @@ def load_increment(
         _recover(spark, target)
     files = new_files(spark, path, out).collect()  # the driver lists them anyway
     names = [r["path"] for r in files]
-    fresh = not _exists(spark, state_path)
+    fresh = not path_exists(spark, state_path)
     if fresh and not read_manifest(spark, out).isEmpty():
         raise ValueError(f"{out} has a manifest and no state")
-    if fresh and _exists(spark, fact_path) and not _exists(spark, f"{out}/loading"):
+    if fresh and path_exists(spark, fact_path) and not path_exists(spark, f"{out}/loading"):
         raise ValueError(f"{fact_path} was not written by an incremental load")
     if not names:
         return _counts(spark, out, config, 0, 0)
@@ -129,7 +124,7 @@ def load_increment(
         periods = [r[0] for r in staged.select(config.period).distinct().collect()]
         fact = staged.select(*config.fact_columns)
         state = staged
-        if _exists(spark, fact_path):
+        if path_exists(spark, fact_path):
             touched = F.col(config.period).isin([p for p in periods if p is not None])
             if None in periods:
                 touched = touched | F.col(config.period).isNull()
@@ -167,5 +162,5 @@ def _counts(spark: SparkSession, out: str, config: LevyConfig, lines: int, perio
     schemas = {config.dimension_table: dimension_schema(config), config.fact_table: fact_schema(config)}
     for name, schema in schemas.items():  # a table without rows may have no file to tell its columns
         path = f"{out}/tables/{name}.parquet"
-        counts.append((name, read_table(spark, path, schema).count() if _exists(spark, path) else 0))
+        counts.append((name, read_table(spark, path, schema).count() if path_exists(spark, path) else 0))
     return spark.createDataFrame(counts, COUNTS_SCHEMA)

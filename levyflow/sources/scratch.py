@@ -25,6 +25,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder before the driver ends."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
