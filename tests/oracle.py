@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import duckdb
@@ -24,6 +26,19 @@ def session() -> SparkSession:
     return spark
 
 
+@contextmanager
+def scratch_below(spark: SparkSession, root: str) -> Iterator[None]:
+    """Another shared folder for a while. The setting is fixed once a session has begun, so that it is
+    written past the session's check."""
+    name, settings = "spark.checkpoint.dir", spark._jsparkSession.sessionState().conf()
+    before = spark.conf.get(name, None)
+    settings.setConfString(name, root)
+    try:
+        yield
+    finally:
+        settings.unsetConf(name) if before is None else settings.setConfString(name, before)
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for file in sorted(Path(sf_dir).glob("*.parquet")):

@@ -1,0 +1,72 @@
+"""Jobs on a file system that is not the local one: Hadoop's view file system, with a folder mounted in it."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from levyflow import LevyConfig
+from levyflow.catalog.inputs import levy_text
+from levyflow.plans import load_increment, merge_keyed, open_keyed, run_etl, run_reports, store_keyed
+from levyflow.plans.etl import build_tables, dimension_schema, fact_schema
+from levyflow.sources import read_delimited, read_table, write_loss_curve, write_single_file
+from tests.oracle import scratch_below
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def mounted(spark, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.impl", "org.apache.hadoop.fs.viewfs.ViewFileSystem")
+    name = f"levy{abs(hash(str(tmp_path)))}"
+    conf.set(f"fs.viewfs.mounttable.{name}.link./data", f"file://{tmp_path}")
+    root = f"viewfs://{name}/data"
+    with scratch_below(spark, root):
+        yield root
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_the_etl_and_its_reports(spark, mounted, tmp_path):
+    text = levy_text(spark, SMALL)
+    text.write.option("header", True).option("sep", ";").csv(f"{mounted}/input")
+    counts = {r["table"]: r["rows"] for r in run_etl(spark, f"{mounted}/input", f"{mounted}/out").collect()}
+    dimension, fact = build_tables(read_delimited(spark, str(tmp_path / "input")).transform(_cleaned))
+    for fmt in ("parquet", "json"):
+        got = read_table(spark, f"{mounted}/out/tables/emisiones.{fmt}", fact_schema(), fmt)
+        assert rows_of(got) == rows_of(fact)
+        got = read_table(spark, f"{mounted}/out/tables/contribuyentes.{fmt}", dimension_schema(), fmt)
+        assert rows_of(got) == rows_of(dimension)
+    assert counts["raw"] == text.count()
+    stored = read_table(spark, f"{mounted}/out/tables/emisiones.parquet", fact_schema())
+    run_reports(spark, stored, f"{mounted}/out")
+    assert list((tmp_path / "out" / "queries").iterdir())
+    assert not list(tmp_path.glob("levyflow/clean-*/part-*"))  # what was staged is gone
+
+
+def _cleaned(raw):
+    from levyflow.plans.etl import clean
+
+    return clean(raw, LevyConfig())
+
+
+def test_loads_merge_and_keyed_tables(spark, mounted):
+    text = levy_text(spark, SMALL)
+    for name, part in (("one", F.col("UBIGEO") < "000003"), ("two", F.col("UBIGEO") >= "000003")):
+        text.where(part).write.option("header", True).option("sep", ";").csv(f"{mounted}/input/{name}")
+        load_increment(spark, f"{mounted}/input", f"{mounted}/loads")
+    fact = read_table(spark, f"{mounted}/loads/tables/emisiones.parquet", fact_schema())
+    assert fact.count() == text.select("COD_PREDIO", "COD_CONTRIBUYENTE", "PERIODO").distinct().count()
+
+    bills = text.select("COD_PREDIO", "FECHA_CORTE", "NOM_CONTRIBUYENTE")
+    store_keyed(bills.where("UBIGEO < '000003'"), f"{mounted}/keyed", ["COD_PREDIO"], ["FECHA_CORTE"], buckets=3)
+    merge_keyed(bills, f"{mounted}/keyed")
+    assert open_keyed(spark, f"{mounted}/keyed").rows(spark).count() == bills.select("COD_PREDIO").distinct().count()
+
+
+def test_single_files(spark, mounted, tmp_path):
+    write_single_file(spark.range(9), f"{mounted}/one.json")
+    write_loss_curve(spark, "svr", [(1, 0.5)], mounted)
+    assert read_table(spark, f"{mounted}/one.json", "id long", "json").count() == 9
+    assert len(list((tmp_path / "loss_curves" / "svr_loss.json").glob("part-*.json"))) == 1
