@@ -19,7 +19,7 @@ import re
 import uuid
 import zlib
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
@@ -105,6 +105,23 @@ def _page(name: str | None) -> int | None:
     return int(digits) if digits else None
 
 
+# --- storage ---
+
+# Hadoop's names of schemes that pyarrow has under another one.
+SAME_SCHEME = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+Opener = Callable[[str], tuple[fs.FileSystem, str]]
+
+
+def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
+    """The store and path of a Hadoop URI. Credentials are those that pyarrow finds on the executor."""
+    scheme, colon, rest = folder.partition("://")
+    uri = SAME_SCHEME.get(scheme.lower(), scheme) + colon + rest
+    try:
+        return fs.FileSystem.from_uri(uri)
+    except (ValueError, NotImplementedError, OSError) as error:
+        raise ValueError(f"pyarrow cannot open {folder}: give an opener for its scheme ({error})") from error
+
+
 # --- writing ---
 
 _CAPTURE = "url_key string, page_id long, file string, start long, length long"
@@ -129,12 +146,12 @@ def with_revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFra
     return found.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("first")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, opener: Opener = open_folder) -> DataFrame:
     """Write a record for every row of ``with_revisits``; returns the stored captures, unsorted."""
     ship_package(pages.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = opener(folder)
         name = out = None
         for batch in batches:
             rows = []
@@ -176,9 +193,12 @@ class CaptureIndex:
 
     folder: str
     parts: DataFrame
+    opener: Opener = open_folder
 
 
-def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> CaptureIndex:
+def build_index(
+    captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES, opener: Opener = open_folder
+) -> CaptureIndex:
     """Sort the captures by key and page, and write each range's blocks and their directory.
 
     The sort includes the page, so that a URL with very many captures spans several files.
@@ -187,7 +207,7 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     schema = pa.schema([("part", pa.string()), ("first_key", pa.string()), ("last_key", pa.string()), ("blocks", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = opener(folder)
         name, directory, first, last = f"index-{uuid.uuid4().hex}", [], None, None
         out = None
         for lines in _blocks(batches, block_lines):
@@ -206,7 +226,7 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     ordered = captures.repartitionByRange("url_key", "page_id", "file", "start").sortWithinPartitions(
         "url_key", "page_id", "file", "start")
     kind = "part string, first_key string, last_key string, blocks long"
-    return CaptureIndex(folder, stored(ordered.mapInArrow(work, kind), "index_parts"))
+    return CaptureIndex(folder, stored(ordered.mapInArrow(work, kind), "index_parts"), opener)
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[list[str]]:
@@ -240,10 +260,10 @@ def look_up(index: CaptureIndex, keys: DataFrame, url_key_column: str = "url_key
     bounds = spark.sparkContext.broadcast((names, firsts, lasts))
     wanted = keys.select(F.col(url_key_column).alias("url_key")).where("url_key is not null").distinct()
     sent = wanted.mapInArrow(lambda batches: _send(batches, bounds), "url_key string, part string")
-    folder = index.folder
+    folder, opener = index.folder, index.opener
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = opener(folder)
         part, reader = None, None
         for batch in batches:
             rows = []
@@ -292,7 +312,7 @@ class _IndexFile:
 # --- reading ---
 
 
-def read_records(captures: DataFrame, folder: str) -> DataFrame:
+def read_records(captures: DataFrame, folder: str, opener: Opener = open_folder) -> DataFrame:
     """``page_id, url, record_type, refers_to, payload_bytes, payload_digest`` of each capture's record,
     from range reads of its archive. The last two come from the payload itself; a revisit has none, so
     there they are null and the digest its header names is in ``named_digest``."""
@@ -303,7 +323,7 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
     ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = opener(folder)
         name, file = None, None
         for batch in batches:
             places = list(zip(*[batch.column(c).to_pylist() for c in ("file", "start", "length")]))
@@ -357,7 +377,7 @@ def resolve(records: DataFrame) -> DataFrame:
 
 def archive_round_trip(
     spark: SparkSession, pages: DataFrame, folder: str | None = None, least_bytes: int = REVISIT_BYTES,
-    block_lines: int = BLOCK_LINES,
+    block_lines: int = BLOCK_LINES, opener: Opener = open_folder,
 ) -> DataFrame:
     """Write ``pages`` (``page_id, url, html``) as archives with an index, and read every record back
     through the index.
@@ -366,9 +386,13 @@ def archive_round_trip(
     html is an empty payload. A null url is indexed under the empty key. A row with a null page id never
     is the page that others revisit. Rows that repeat the id of the page that others revisit, with the same payload,
     are responses too. An empty table gives no rows. Other columns are not read.
+
+    ``folder`` is a Hadoop URI; archives in it are opened by ``opener``, on the executors, as Spark itself has no
+    writer of such files. One that it cannot open is an error before anything is written.
     """
     folder = folder or scratch_path(spark, "archives")
-    captures = write_archives(with_revisits(pages, least_bytes), folder)
-    index = build_index(captures, folder, block_lines)
+    opener(folder)
+    captures = write_archives(with_revisits(pages, least_bytes), folder, opener)
+    index = build_index(captures, folder, block_lines, opener)
     found = look_up(index, captures.select("url_key"))
-    return resolve(stored(read_records(found, folder), "records"))
+    return resolve(stored(read_records(found, folder, opener), "records"))

@@ -4,11 +4,12 @@ from pathlib import Path
 
 import pytest
 
+from levyflow.llm import warc
 from levyflow.llm.warc import (
     archive_round_trip, build_index, look_up, parse_record, read_records, url_key, with_revisits, write_archives,
 )
 from tests.llm.tables import with_clashes
-from tests.oracle import compare
+from tests.oracle import compare, scratch_below
 
 SCHEMA = "page_id long, url string, html string"
 LONG = "<p>" + "é" * 200 + "</p>"
@@ -95,3 +96,32 @@ def test_matches_sql_with_copies(spark, tmp_path):
     frame = QUERIES["op4_warc"](spark, str(tmp_path)).toPandas()
     frame["refers_to"] = frame["refers_to"].astype("Int64")
     assert compare(frame, db, ORACLES["op4_warc"]).startswith("ok")
+
+
+def test_archives_on_another_file_system(spark, tmp_path):
+    from pyarrow import fs
+
+    name = f"pages{abs(hash(str(tmp_path)))}"
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{name}.link./data", f"file://{tmp_path}")
+    mount, place = f"viewfs://{name}/data", str(tmp_path)
+
+    def opened(folder):
+        assert folder.startswith(mount)
+        return fs.LocalFileSystem(), place + folder.removeprefix(mount)
+
+    pages = spark.createDataFrame(PAGES, SCHEMA).repartition(3)
+    with scratch_below(spark, mount):
+        got = archive_round_trip(spark, pages, opener=opened)
+    assert sorted((tuple(r) for r in got.select("page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest").collect()),
+                  key=repr) == expected(PAGES)
+    assert list(tmp_path.glob("levyflow/archives-*/archive-*.warc.gz"))
+    with pytest.raises(ValueError, match="give an opener"):  # before any job
+        archive_round_trip(spark, pages, folder=f"{mount}/x")
+
+
+def test_names_of_schemes(monkeypatch):
+    asked = []
+    monkeypatch.setattr(warc.fs, "FileSystem", type("Stores", (), {"from_uri": staticmethod(asked.append)}))
+    for folder in ("s3a://bucket/a b", "S3N://bucket/x", "hdfs://host:1/x", "file:///x", "/x", "gs://b/s3a://"):
+        warc.open_folder(folder)
+    assert asked == ["s3://bucket/a b", "s3://bucket/x", "hdfs://host:1/x", "file:///x", "/x", "gs://b/s3a://"]
