@@ -36,9 +36,10 @@ _LEAST_DIM = 16
 class CapCode:
     """The filters of one dimension; the same in every process."""
 
-    def __init__(self, dim: int, codes: int, filters: int):
+    def __init__(self, dim: int, codes: int, filters: int, turn: int = 0):
         self.size = max(dim, _LEAST_DIM)
-        rng = np.random.default_rng([SEED, self.size, codes])
+        # Each turn has a rotation and words of its own.
+        rng = np.random.default_rng([SEED, self.size, codes, *([turn] if turn else [])])
         self.rotation = np.linalg.qr(rng.standard_normal((self.size, self.size)))[0]
         self.half, self.codes, self.filters = self.size // 2, codes, filters
         self.words = [_unit(rng.standard_normal((codes, n))) for n in (self.half, self.size - self.half)]
@@ -93,8 +94,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 @cache
-def cap_code(dim: int, codes: int, filters: int) -> CapCode:
-    return CapCode(dim, codes, filters)
+def cap_code(dim: int, codes: int, filters: int, turn: int = 0) -> CapCode:
+    return CapCode(dim, codes, filters, turn)
 
 
 def usable(vector: Column) -> Column:
@@ -112,14 +113,15 @@ def as_vector(df: DataFrame, vector: str) -> Column:
 
 def cap_components(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, codes: int | None = None,
-    filters: int = FILTERS, chunk: int = CHUNK,
+    filters: int = FILTERS, chunk: int = CHUNK, turns: int = 1,
 ) -> DataFrame:
     """``key, n_links, component_id, kept`` for every row of ``vectors``.
 
     Rows link when the cosine of their vectors, in double precision, is at least ``cosine``. Every
-    reported link is exact. Two vectors right at the limit share no filter in about one case of some
-    thousands, and are then not linked; above the limit that is rarer still. ``codes`` is chosen for the
-    number of rows if not given.
+    reported link is exact. Two vectors right at the limit share no filter of a code in about one case of
+    two thousand, and are then not linked; above the limit that is rarer still. With more ``turns`` each vector
+    is in the filters of as many independent codes, and a link is lost only where all of them lose it: at two
+    turns one in some millions, at twice the work. ``codes`` is chosen for the number of rows if not given.
 
     Null and zero vectors and those with a null or non-finite component have no links, and neither
     have rows with a null key; their component is their own key. Equal vectors link to each other
@@ -132,7 +134,7 @@ def cap_components(
     codes = codes or codes_for(rows.count())
     distinct = rows.where(able).groupBy("v").agg(F.min("key").alias("least"), F.count("*").alias("n"))
     coded = stored(
-        _coded(distinct.select(F.monotonically_increasing_id().alias("uid"), "least", "n", "v"), codes, filters), "caps"
+        _coded(distinct.select(F.monotonically_increasing_id().alias("uid"), "least", "n", "v"), codes, filters, turns), "caps"
     )
     found = stored(_compared(coded, cosine, chunk), "cap_links")
     links = found.where("other is null").groupBy("uid").agg(F.sum("links").alias("links"))
@@ -154,8 +156,8 @@ def cap_components(
     )
 
 
-def _coded(distinct: DataFrame, codes: int, filters: int) -> DataFrame:
-    """Adds ``filters``: the vector's filters, told apart by its length too."""
+def _coded(distinct: DataFrame, codes: int, filters: int, turns: int = 1) -> DataFrame:
+    """Adds ``filters``: the vector's filters, told apart by its length and the turn too."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,9 +166,10 @@ def _coded(distinct: DataFrame, codes: int, filters: int) -> DataFrame:
             lists: list = [None] * len(found)
             for dim in np.unique(sizes):
                 at = np.flatnonzero(sizes == dim)
-                decoded = cap_code(int(dim), codes, filters).decode(_unit(np.stack([found[i] for i in at])))
-                for i, own in zip(at, decoded):
-                    lists[i] = own + int(dim) * codes * codes
+                unit, dim = _unit(np.stack([found[i] for i in at])), int(dim)
+                decoded = [cap_code(dim, codes, filters, turn).decode(unit) for turn in range(turns)]
+                for i, *own in zip(at, *decoded):
+                    lists[i] = np.concatenate([o + (dim * turns + turn) * codes * codes for turn, o in enumerate(own)])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lists, pa.list_(pa.int64()))], ["uid", "least", "n", "v", "filters"]
             )

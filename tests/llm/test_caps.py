@@ -65,6 +65,27 @@ def test_pairs_at_the_limit_share_a_filter(rows):
     assert all(len(f) >= 20 for f in code.decode(x))
 
 
+@pytest.mark.parametrize("cosine", [0.9501, 0.96])
+def test_planted_pairs_are_found(spark, cosine):
+    rng, n = np.random.default_rng(int(cosine * 1e4)), 10_000
+    x, r = _unit(rng.standard_normal((n, 64))), rng.standard_normal((n, 64))
+    r = _unit(r - (r * x).sum(axis=1, keepdims=True) * x)
+    y = cosine * x + np.sqrt(1 - cosine**2) * r
+    rows = [(2 * i + j, v.tolist()) for i, pair in enumerate(zip(x, y)) for j, v in enumerate(pair)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8).cache()
+    found = {turns: cap_components(df, turns=turns).where("n_links > 0 and vec_id % 2 = 1 and component_id = vec_id - 1").count()
+             for turns in (1, 2)}
+    df.unpersist()
+    assert found[1] >= 0.999 * n and found[2] == n
+
+
+@pytest.mark.parametrize("turns", [2, 3])
+def test_turns_change_no_link(spark, turns):
+    rows = vectors(seed=turns)
+    got = [tuple(r) for r in cap_components(spark.createDataFrame(rows, SCHEMA), turns=turns).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+
+
 def test_decoded_lists_are_all_filters_above_the_edge():
     code, rng = CapCode(32, 64, 10), np.random.default_rng(4)
     x = _unit(rng.standard_normal((50, 32)))

@@ -90,3 +90,17 @@ def test_columns_of_any_name_are_carried(spark):
     rows = [(1, f"token={KEY}", "a", "b", 1), (2, None, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, __digest string, __spans string, source long")
     assert [tuple(r) for r in mask_live(docs).orderBy("doc_id").collect()] == [(1, f"token={'*' * len(KEY)}", "a", "b", 1), rows[1]]
+
+
+def test_owners_and_repositories_are_told_apart(spark):
+    """One owner's value stays live in any number of repositories, and one that many owners put into a
+    single repository is a copied example."""
+    own, shared = KEY, KEY[::-1]
+    rows = [(i, f"token={own}", f"repo{i}", "me") for i in range(6)] + [(10 + i, f"token={shared}", "forum", f"user{i}") for i in range(6)]
+    rows += [(20, f"token={own}", None, "me"), (21, f"token={shared}", "forum", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, repo string, owner string")
+    found = {r.doc_id: r.hits for r in find_secrets(docs, repo="repo", owner="owner").collect()}
+    assert {(h.repos, h.owners, h.verdict) for i in (*range(6), 20) for h in found[i]} == {(7, 1, "live")}
+    assert {(h.repos, h.owners, h.verdict) for i in (*range(10, 16), 21) for h in found[i]} == {(1, 7, "copied")}
+    masked = {r.doc_id: r.text for r in mask_live(docs, repo="repo", owner="owner").collect()}
+    assert masked[3] == "token=" + "*" * len(own) and masked[12] == rows[8][1]
