@@ -12,6 +12,7 @@ from levyflow.plans.etl import dimension_schema, fact_schema
 from levyflow.plans.incremental import load_increment
 from levyflow.sources.readers import read_table
 from levyflow.sources.scratch import scratch_path
+from levyflow.sources.writers import write_delimited
 
 # The second load brings some taxpayers' bills of the last periods, as text and in SQL.
 _LATE = "CAST(PERIODO AS INT) >= 2000 AND COD_CONTRIBUYENTE LIKE '%7'"
@@ -21,7 +22,7 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFra
     source, out = scratch_path(spark, "levy"), scratch_path(spark, "loads")
     text, counts = levy_text(spark, sf_dir), {}
     for name, part in (("first", ~F.expr(_LATE)), ("second", F.expr(_LATE))):
-        text.where(part).write.option("header", True).option("sep", ";").csv(f"{source}/{name}")
+        write_delimited(text.where(part), f"{source}/{name}")
         counts[name] = load_increment(spark, source, out)
     counts["third"] = load_increment(spark, source, out)
     return out, counts

@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from levyflow.config import LevyConfig
-from levyflow.operators.ranking import dedupe_by
-from levyflow.plans.etl import COUNTS_SCHEMA, clean, dimension_schema, fact_schema
+from levyflow.plans.etl import COUNTS_SCHEMA, clean, dimension_schema, fact_schema, newest_bills, write_width
 from levyflow.sizing import sized_shuffles
 from levyflow.sources.readers import read_delimited, read_table
 from levyflow.sources.scratch import drop_path, path_exists, scratch_path
-from levyflow.sources.writers import write_table
+from levyflow.sources.writers import COMPRESSION, write_table
 
 MANIFEST_SCHEMA = "path string, length bigint, modified timestamp"
 # Beside the tables: what the dimension's rows are compared by, and the files read.
@@ -133,14 +132,16 @@ def load_increment(
         if not fresh:
             state = read_table(spark, state_path, _state_schema(config)).unionByName(
                 staged.select(*_state_schema(config).names))
+        width = write_width(fact, len(periods))
+        with sized_shuffles(fact, width):
+            write_table(newest_bills(fact, config), merged_path, "parquet", [config.period], rebalance=width is None)
         with sized_shuffles(fact):
-            newest_first = [F.desc_nulls_last(config.cut_date)]
-            write_table(dedupe_by(fact, config.fact_key, newest_first), merged_path)
             write_table(latest_state(state, config), f"{state_path}.ready")
         # From here on the tables change; all that goes into them is stored.
         spark.createDataFrame([(len(names),)], "files int").write.mode("overwrite").parquet(f"{out}/loading")
-        merged = spark.read.schema(fact_schema(config)).parquet(merged_path)
-        (merged.hint("rebalance", config.period).write.mode("overwrite")
+        merged = read_table(spark, merged_path, fact_schema(config))
+        # Its files are of the right size by now: they are copied as they are, without a shuffle.
+        (merged.write.mode("overwrite").options(**COMPRESSION["parquet"])
          .option("partitionOverwriteMode", "dynamic").partitionBy(config.period).parquet(fact_path))
         write_table(
             read_table(spark, f"{state_path}.ready", _state_schema(config)).select(config.taxpayer, config.taxpayer_name),
