@@ -5,6 +5,7 @@ from levyflow.models.blocks import Blocks, pack_blocks
 from levyflow.models.classifiers import fit_forest, fit_perceptron
 from levyflow.models.descent import Fit, Task, descend
 from levyflow.models.mlp import MlpLoss
+from levyflow.models.perceptron import fit_packed_perceptron
 from levyflow.models.svr import SvrLoss
 
 __all__ = [
@@ -17,6 +18,7 @@ __all__ = [
     "descend",
     "fit_bagged_forest",
     "fit_forest",
+    "fit_packed_perceptron",
     "fit_perceptron",
     "pack_blocks",
 ]
