@@ -1,11 +1,12 @@
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from levyflow.llm import sampling
+from levyflow.llm import catalog, sampling
 from levyflow.llm.sampling import SPACE, default_model, sample_group, sample_segmentations, vocabulary
 from tests.llm.tables import no_documents, odd_documents, prose
 
@@ -107,3 +108,15 @@ def test_rows(spark):
 
 def test_no_rows(spark):
     assert sample_segmentations(no_documents(spark)).count() == 0
+
+
+def test_the_query_returns_the_segmentations_themselves(spark, tmp_path):
+    docs = odd_documents(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got, vocab = catalog.op6_segmentations(spark, str(tmp_path)).collect(), vocabulary(default_model())
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id for r in got} == set(texts)
+    for r in got:
+        assert len(r.ids) == r.pieces and zlib.crc32(np.array(r.ids, dtype="<u4")) == r.ids_crc32
+        if r.doc_id is not None:
+            assert vocab.decode(r.ids) == (texts[r.doc_id] or "").replace(SPACE, " ")
